@@ -91,7 +91,7 @@ from part"""
 
 OFFER_SQL = """
 select product_id, source_id,
-       row_number() over (partition by product_id order by source_id) as rnk,
+       cast(row_number() over (partition by product_id order by source_id) as bigint) as rnk,
        cast(cast(round(p_retailprice * 100) as bigint)
             * case when source_id % 17 = 0 then 500 else 90 + (source_id % 7) * 5 end as double) / 10000 as price
 from (select distinct l_partkey as product_id, l_suppkey as source_id from lineitem) o
