@@ -5,6 +5,7 @@ from shelfwise.plans import (  # noqa: F401
     queries_attributes,
     queries_catalog,
     queries_links,
+    queries_passages,
     queries_profile,
     queries_selecting,
 )
