@@ -30,17 +30,19 @@ def windows_of(text: Column, size: int = 1000, overlap: int = 500) -> Column:
 
 def density(text: Column) -> Column:
     """Weighted pattern hits per 1,000 characters, with the bonus and penalty factors."""
-    counts = [matches(text, regex) for _, regex, _ in DENSITY_PATTERNS]
-    weights = [weight for _, _, weight in DENSITY_PATTERNS]
-    counted = F.array(*counts)
-    total = F.aggregate(
-        F.zip_with(counted, F.array(*[F.lit(w) for w in weights]), lambda c, w: c * w), F.lit(0), lambda a, x: a + x
-    ).cast("double")
-    kinds = F.size(F.filter(counted, lambda c: c > 0))
-    total = total * F.when(kinds >= 3, 1.5).otherwise(1.0)
-    total = total * F.when(F.element_at(counted, -1) > 0, 2.0).otherwise(1.0)
-    total = total * F.when(matches(text, MARKETING_WORDS) > 5, 0.5).otherwise(1.0)
-    return F.when(F.length(text) > 0, total / F.length(text) * 1000).otherwise(0.0)
+    counts = F.array(*[matches(text, regex) for _, regex, _ in DENSITY_PATTERNS])
+    weights = F.array(*[F.lit(weight) for _, _, weight in DENSITY_PATTERNS])
+
+    def score(counted: Column) -> Column:
+        total = F.aggregate(F.zip_with(counted, weights, lambda c, w: c * w), F.lit(0), lambda a, x: a + x).cast("double")
+        kinds = F.size(F.filter(counted, lambda c: c > 0))
+        total = total * F.when(kinds >= 3, 1.5).otherwise(1.0)
+        return total * F.when(F.element_at(counted, -1) > 0, 2.0).otherwise(1.0)
+
+    # The one-element array binds the counts, so the patterns run once per window.
+    bound = F.transform(F.array(counts), score)[0]
+    bound = bound * F.when(matches(text, MARKETING_WORDS) > 5, 0.5).otherwise(1.0)
+    return F.when(F.length(text) > 0, bound / F.length(text) * 1000).otherwise(0.0)
 
 
 def make_windows(docs: DataFrame, size: int = 1000, overlap: int = 500) -> DataFrame:

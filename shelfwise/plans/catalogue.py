@@ -7,6 +7,7 @@ from shelfwise.plans import (  # noqa: F401
     queries_links,
     queries_passages,
     queries_profile,
+    queries_search,
     queries_selecting,
 )
 
