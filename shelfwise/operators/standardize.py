@@ -187,8 +187,11 @@ def filter_coverage(eav: DataFrame, n_products: Column, percent: float = 10.0) -
     """Keep keys that enough products have; 0 percent keeps all."""
     if percent <= 0:
         return eav
-    kept = key_coverage(eav, n_products, percent).where("kept").select("kind", "key")
-    return eav.join(kept, ["kind", "key"], "left_semi").select(*EAV_COLUMNS)
+    return keep_keys(eav, key_coverage(eav, n_products, percent).where("kept"))
+
+
+def keep_keys(eav: DataFrame, kept: DataFrame) -> DataFrame:
+    return eav.join(kept.select("kind", "key"), ["kind", "key"], "left_semi").select(*EAV_COLUMNS)
 
 
 def coverage_stats(eav: DataFrame, n_products: Column, percent: float = 10.0) -> DataFrame:
@@ -218,12 +221,16 @@ def kind_moves(eav: DataFrame) -> DataFrame:
     )
 
 
-def assign_kinds(eav: DataFrame) -> DataFrame:
+def assign_kinds(eav: DataFrame, moves: DataFrame | None = None) -> DataFrame:
     """Boolean specs move to features, then non-boolean features move to specs; moved values overwrite.
 
-    Only keys seen under both kinds can meet, so only their rows are grouped by product.
+    Only keys seen under both kinds can meet, so only their rows are grouped by product. `moves`
+    replaces the moves found in `eav` itself; keys it does not know stay where they are.
     """
-    rows = eav.join(kind_moves(eav), "key", "left")
+    no = F.lit(False)
+    rows = eav.join(kind_moves(eav) if moves is None else moves, "key", "left").withColumns(
+        {name: F.coalesce(name, no) for name in ("to_features", "to_specs", "in_both")}
+    )
     from_specs = F.col("kind") == "specs"
     target = (
         F.when(from_specs & (~F.col("to_features") | F.col("to_specs")), "specs")

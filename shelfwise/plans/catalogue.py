@@ -4,6 +4,7 @@ from shelfwise.plans.registry import REGISTRY
 from shelfwise.plans import (  # noqa: F401
     queries_attributes,
     queries_catalog,
+    queries_io,
     queries_links,
     queries_passages,
     queries_profile,

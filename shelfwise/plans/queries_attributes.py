@@ -167,8 +167,6 @@ and not (kind = 'specs' and key in ({quoted(RULES.remove_specs)}))
 and not (kind = 'features' and key in ({quoted(RULES.remove_features)}))"""
 
 
-FX_SPEC = "fx_spec"
-
 # --- queries ------------------------------------------------------------------------------------
 
 
@@ -219,7 +217,7 @@ def _(v):
     return st.resolve_collisions(st.extract_units_auto(v.fx_spec))
 
 
-@REGISTRY.add("C07_unify_keys", sql_unify(f"({sql_collisions(f'({sql_units_auto(FX_SPEC)}) u')}) c"))
+@REGISTRY.add("C07_unify_keys", sql_unify("(" + sql_collisions(f"({sql_units_auto('fx_spec')}) u") + ") c"))
 def _(v):
     return st.unify_keys(st.resolve_collisions(st.extract_units_auto(v.fx_spec)), RULES.merge_table(v.spark))
 
@@ -299,11 +297,11 @@ def _(v):
     return st.validation_summary(st.validate(st.extract_units_auto(v.fx_spec)))
 
 
-@REGISTRY.add("C16_standardize", sql_kinds(f"""(
-  select product_id, kind, ord, key, value from ({sql_values(f'''({sql_coverage("local", 10)})''')}) v) t""").replace(
-    "select product_id, kind, ord, key, value from (\n with stats", f"""with local as materialized ({sql_product_rules('fx_spec')})
-select product_id, kind, ord, key, value from (
- with stats""", 1))
+_VALUED = f"(select product_id, kind, ord, key, value from ({sql_values('(' + sql_coverage('local', 10) + ')')}) v)"
+STANDARDIZE_SQL = f"with local as materialized ({sql_product_rules('fx_spec')}), valued as materialized {_VALUED} {sql_kinds('valued')}"
+
+
+@REGISTRY.add("C16_standardize", STANDARDIZE_SQL)
 def _(v):
     return standardize(v.fx_spec, v.part, RULES, value_map_table(v.spark), 10)
 

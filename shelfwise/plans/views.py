@@ -49,13 +49,14 @@ EXTRA_ROWS = [
 ]
 
 
-def _spark_rows(rows) -> str:
+def spark_row_array(rows) -> str:
+    """Array of the (kind, ord, key, value) structs that apply to a `part` row."""
     structs = ", ".join(
         f"{'if(' + when + ', ' if when else ''}named_struct('kind', '{kind}', 'ord', {ord_}L, 'key', '{key}', "
         f"'value', {value}){', null)' if when else ''}"
         for kind, ord_, key, value, when in rows
     )
-    return f"inline(filter(array({structs}), r -> r is not null))"
+    return f"filter(array({structs}), r -> r is not null)"
 
 
 def _sql_rows(rows, extra: str = "") -> str:
@@ -231,8 +232,8 @@ from lineitem join part on p_partkey = l_partkey""",
 
 # Views whose text differs between the engines.
 SPARK_ONLY = {
-    "fx_spec": f"select p_partkey as product_id, {_spark_rows(SPEC_ROWS)} from part",
-    "fx_extra_spec": f"select p_partkey as product_id, {_spark_rows(EXTRA_ROWS)} from part",
+    "fx_spec": f"select p_partkey as product_id, inline({spark_row_array(SPEC_ROWS)}) from part",
+    "fx_extra_spec": f"select p_partkey as product_id, inline({spark_row_array(EXTRA_ROWS)}) from part",
     "fx_image": "select p_partkey as product_id, inline(filter(array("
     + ", ".join(
         f"if({when or 'true'}, named_struct('ord', {ord_}L, 'url', {url}), null)" for ord_, url, when in IMAGE_ROWS

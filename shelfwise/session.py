@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -26,15 +27,23 @@ def build_session(app_name: str = "shelfwise", master: str | None = None, **conf
     return builder.getOrCreate()
 
 
-def cut_lineage(df: DataFrame) -> DataFrame:
-    """Reliable checkpoint in the shared folder named by ``spark.checkpoint.dir``.
+def shared_dir(spark: SparkSession) -> str:
+    """Folder every executor can reach, as named by ``spark.checkpoint.dir``.
 
-    The folder is read from the session. Only when the session names none, as in local tests, is a
-    temporary one made.
+    Only when the session names none, as in local tests, is a temporary one made and set.
     """
-    spark = df.sparkSession
     context = spark.sparkContext
     if context.getCheckpointDir() is None:
         shared = context.getConf().get("spark.checkpoint.dir")
         context.setCheckpointDir(shared or tempfile.mkdtemp(prefix="shelfwise-checkpoint-"))
+    return context.getCheckpointDir()
+
+
+def new_shared_path(spark: SparkSession, name: str) -> str:
+    return f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
+
+
+def cut_lineage(df: DataFrame) -> DataFrame:
+    """Reliable checkpoint in the shared folder: it survives lost executors."""
+    shared_dir(df.sparkSession)
     return df.checkpoint(eager=True)
