@@ -20,9 +20,14 @@ def is_blank(c: Column) -> Column:
     return c.isNull() | (strip(c) == "")
 
 
-def alternation(words: list[str]) -> str:
-    """Regex that matches any of the words literally."""
-    return "|".join(re.escape(w) for w in words)
+def contains_any(c: Column, words) -> Column:
+    """Does the text hold one of the words?
+
+    A substring test over a constant array: cheaper than an alternation, and unlike a chain of
+    conditions it keeps the generated code small. The one-element array computes `c` once.
+    """
+    listed = F.array(*[F.lit(w) for w in words])
+    return F.transform(F.array(c), lambda text: F.exists(listed, lambda w: F.contains(text, w)))[0]
 
 
 def extract_or_null(c: Column, pattern: str, group: int = 1) -> Column:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from shelfwise.functions.text import alternation, extract_or_null
+from shelfwise.functions.text import contains_any, extract_or_null
 from shelfwise.rules import (
     EXCLUDED_DOMAINS, HOME_PAGES, MANUFACTURER_DOMAINS, PARAMETER_RULES, REDIRECT_HOSTS, REVIEW_DOMAINS, SOURCES,
     TRACKER_HOSTS_KEPT, Source,
@@ -43,7 +43,7 @@ def group_by_canonical(links: DataFrame) -> DataFrame:
 def strip_params(links: DataFrame, rules=PARAMETER_RULES, keep_hosts=TRACKER_HOSTS_KEPT) -> DataFrame:
     """Drop listed query parameters per host; tracker links keep theirs, they stop working without."""
     url, host = F.col("url"), host_of(F.col("url"))
-    dropped = F.when(host.rlike(alternation(keep_hosts)), F.array().cast("array<string>"))
+    dropped = F.when(contains_any(host, keep_hosts), F.array().cast("array<string>"))
     for fragment, names in rules:
         dropped = dropped.when(F.contains(host, F.lit(fragment)), F.array(*[F.lit(n) for n in names]))
     dropped = dropped.otherwise(F.array().cast("array<string>"))
@@ -86,7 +86,7 @@ def fallback_url(url: Column, name: Column, homes: dict[str, str] = HOME_PAGES,
     home = None
     for source, page in homes.items():
         home = F.when(name == source, page) if home is None else home.when(name == source, page)
-    return F.when(host_of(url).rlike(alternation(redirect_hosts)), F.coalesce(home, url)).otherwise(url)
+    return F.when(contains_any(host_of(url), redirect_hosts), F.coalesce(home, url)).otherwise(url)
 
 
 def fallback_links(links: DataFrame, homes: dict[str, str] = HOME_PAGES) -> DataFrame:
@@ -118,9 +118,9 @@ def link_class(url: Column) -> Column:
     """0 excluded, 1 manufacturer, 2 review site, 3 unknown; the first list that hits decides."""
     lowered = F.lower(url)
     return (
-        F.when(lowered.rlike(alternation(EXCLUDED_DOMAINS)), 0)
-        .when(lowered.rlike(alternation(MANUFACTURER_DOMAINS)), 1)
-        .when(lowered.rlike(alternation(REVIEW_DOMAINS)), 2)
+        F.when(contains_any(lowered, EXCLUDED_DOMAINS), 0)
+        .when(contains_any(lowered, MANUFACTURER_DOMAINS), 1)
+        .when(contains_any(lowered, REVIEW_DOMAINS), 2)
         .otherwise(3)
     )
 
@@ -153,7 +153,7 @@ def route_links(links: DataFrame, sources: list[Source] = SOURCES, enabled_only:
     by_name = by_url = None
     for s in sources:
         at_name = name == s.name.upper()
-        at_url = url.rlike(alternation(list(s.patterns)))
+        at_url = contains_any(url, s.patterns)
         by_name = F.when(at_name, s.name) if by_name is None else by_name.when(at_name, s.name)
         by_url = F.when(at_url, s.name) if by_url is None else by_url.when(at_url, s.name)
     routed = links.withColumn("source", F.coalesce(by_name, by_url)).where("source is not null")

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from shelfwise.functions.tables import first_by
-from shelfwise.functions.text import alternation
+from shelfwise.functions.text import contains_any
 from shelfwise.rules import (
     AD_WORDS, BAD_DOCUMENT_WORDS, DOCUMENT_WEIGHTS, EMPTY_REVIEW, MANUAL_WORDS, TRUSTED_DOCUMENT_HOSTS,
 )
@@ -113,10 +113,10 @@ def document_score(url: Column, brand: Column, model: Column, weights: dict[str,
     return (
         named
         + points((model != "") & F.contains(lowered, F.lower(model)), "model")
-        + points(lowered.rlike(alternation(MANUAL_WORDS)), "manual")
-        + points(lowered.rlike(alternation(TRUSTED_DOCUMENT_HOSTS)), "trusted")
-        + points(lowered.rlike(alternation(BAD_DOCUMENT_WORDS)), "bad")
-        + points(lowered.rlike(alternation(AD_WORDS)), "ad")
+        + points(contains_any(lowered, MANUAL_WORDS), "manual")
+        + points(contains_any(lowered, TRUSTED_DOCUMENT_HOSTS), "trusted")
+        + points(contains_any(lowered, BAD_DOCUMENT_WORDS), "bad")
+        + points(contains_any(lowered, AD_WORDS), "ad")
     )
 
 

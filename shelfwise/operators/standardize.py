@@ -26,41 +26,27 @@ def _unit_patterns(strict: bool):
         yield name, suffix, "(?i)" + regex, divisor
 
 
-def _detected_unit(value: Column, strict: bool) -> Column:
-    chain = F.when(~value.rlike(_MAY_HOLD_UNIT), F.lit(None).cast("string"))
-    for name, _, regex, _ in _unit_patterns(strict):
-        chain = chain.when(value.rlike(regex), name)
-    return chain
-
+def _detected(value: Column, strict: bool) -> Column:
+    """Struct (number, suffix) of the first pattern that matches, else null.
 
-def _pick(unit: Column, branches) -> Column:
-    chain = None
-    for name, result in branches:
-        chain = F.when(unit == name, result) if chain is None else chain.when(unit == name, result)
+    One expression of linear size: a filter pushed below it repeats it once, not once per pattern.
+    """
+    chain = F.when(~value.rlike(_MAY_HOLD_UNIT), F.lit(None))
+    for _, suffix, regex, divisor in _unit_patterns(strict):
+        text = F.regexp_extract(value, regex, 1)
+        number = whole_or_decimal_text(text.cast("double") / divisor) if divisor else text
+        chain = chain.when(value.rlike(regex), F.struct(number.alias("number"), F.lit(suffix).alias("suffix")))
     return chain
 
 
 def _with_auto_units(eav: DataFrame, strict: bool) -> DataFrame:
-    """Adds `_auto_key` and `_auto_value`: the first matching pattern decides both."""
-    patterns = list(_unit_patterns(strict))
-    value = strip(F.col("value"))
-    eav = eav.withColumn("_unit", _detected_unit(value, strict))
-
-    def number(regex: str, divisor: int | None) -> Column:
-        text = F.regexp_extract(value, regex, 1)
-        return whole_or_decimal_text(text.cast("double") / divisor) if divisor else text
-
-    numbers = _pick(F.col("_unit"), [(n, number(r, d)) for n, _, r, d in patterns])
-    suffix = _pick(F.col("_unit"), [(n, F.lit(s)) for n, s, _, _ in patterns])
+    """Adds `_auto_key` and `_auto_value`."""
+    suffix = F.col("_unit.suffix")
     return (
-        eav.withColumn("_auto_value", F.coalesce(numbers, F.col("value")))
-        .withColumn("_suffix", suffix)
-        .withColumn(
-            "_auto_key",
-            F.when(F.col("_suffix").isNull() | F.col("key").endswith(F.col("_suffix")), F.col("key"))
-            .otherwise(F.concat("key", "_suffix")),
-        )
-        .drop("_suffix", "_unit")
+        eav.withColumn("_unit", _detected(strip(F.col("value")), strict))
+        .withColumn("_auto_value", F.coalesce("_unit.number", "value"))
+        .withColumn("_auto_key", F.when(suffix.isNull() | F.col("key").endswith(suffix), F.col("key")).otherwise(F.concat("key", suffix)))
+        .drop("_unit")
     )
 
 

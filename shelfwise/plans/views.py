@@ -10,11 +10,21 @@ import re
 
 from pyspark.sql import DataFrame, SparkSession
 
+from shelfwise.functions.tables import spread
+
 TABLES = (
     "region nation customer supplier part orders lineitem events documents embeddings pages "
     "benchmark labels conversations"
 ).split()
 
+# Tables that feed regex work or grow into many rows, with the key that tells their rows apart.
+ROW_KEYS = {
+    "part": ["p_partkey"],
+    "documents": ["doc_id"],
+    "pages": ["page_id"],
+    "conversations": ["conv_id", "turn"],
+}
+
 # (kind, ord, key, value expression, condition or None) over a `part` row.
 SPEC_ROWS = [
     ("specs", 1, "depth", "cast(p_size as string) || 'cm'", None),
@@ -272,7 +282,8 @@ class Views:
         self.sf_dir = sf_dir
 
     def table(self, name: str) -> DataFrame:
-        return self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet")
+        scan = self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet")
+        return spread(scan, *ROW_KEYS[name]) if name in ROW_KEYS else scan
 
     def _view(self, name: str) -> DataFrame:
         text = SPARK_ONLY.get(name) or SHARED[name]

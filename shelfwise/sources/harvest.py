@@ -9,7 +9,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from shelfwise.functions.text import extract_or_null, normalize_label, strip
-from shelfwise.operators.attributes import keep_last_value
 from shelfwise.operators.links import host_of
 from shelfwise.schemas import EAV_COLUMNS
 
@@ -18,38 +17,65 @@ _ENTITIES = [("&nbsp;", " "), ("&#160;", " "), ("&lt;", "<"), ("&gt;", ">"), ("&
 
 def plain_text(html: Column) -> Column:
     """Text of a fragment: tags removed, common entities decoded, ends trimmed."""
-    text = F.regexp_replace(html, r"(?s)<[^>]*>", "")
+    text = F.when(F.contains(html, F.lit("<")), F.regexp_replace(html, "<[^>]*>", "")).otherwise(html)
+    decoded = text
     for entity, char in _ENTITIES:
-        text = F.replace(text, F.lit(entity), F.lit(char))
-    return strip(text)
+        decoded = F.replace(decoded, F.lit(entity), F.lit(char))
+    return strip(F.when(F.contains(html, F.lit("&")), decoded).otherwise(text))
 
 
 def _cell_value(html: Column) -> Column:
     """Check and cross icons read as Yes and No."""
-    return (
-        F.when(html.rlike(r'data-icon="check"'), "Yes").when(html.rlike(r'data-icon="xmark"'), "No").otherwise(plain_text(html))
-    )
+    check, cross = F.contains(html, F.lit('data-icon="check"')), F.contains(html, F.lit('data-icon="xmark"'))
+    return F.when(check, "Yes").when(cross, "No").otherwise(plain_text(html))
+
+
+def _last_of_repeated(entries: Column) -> Column:
+    """Of entries with the same kind and key: the position of the first and the value of the last."""
+    ordered = F.array_sort(entries)
+
+    def differs(e: Column, neighbour: Column) -> Column:
+        return F.coalesce((e["kind"] != neighbour["kind"]) | (e["key"] != neighbour["key"]), F.lit(True))
+
+    def deduplicated(rows: Column) -> Column:
+        firsts = F.filter(rows, lambda e, i: differs(e, F.get(rows, i - 1)))
+        lasts = F.filter(rows, lambda e, i: differs(e, F.get(rows, i + 1)))
+        return F.zip_with(
+            firsts, lasts,
+            lambda f, e: F.struct(f["kind"].alias("kind"), f["ord"].alias("ord"), f["key"].alias("key"), e["value"].alias("value")),
+        )
+
+    # The one-element array binds the sorted entries, so they are sorted once.
+    return F.transform(F.array(ordered), deduplicated)[0]
 
 
 def harvest_specs(pages: DataFrame, drop: str = ":") -> DataFrame:
     """Attributes from two-cell table rows: the first table is specs, later ones are features.
 
-    Blank values, `-` and `N/A` are dropped; of a repeated key the last value stays.
+    Blank values, `-` and `N/A` are dropped; of a repeated key the last value stays. A page is one
+    row and repeats are settled inside it, so nothing is shuffled.
     """
+    def cells(row: Column) -> Column:
+        return F.regexp_extract_all(row, F.lit(r"(?is)<t[dh]\b[^>]*>(.*?)</t[dh]>"), F.lit(1))
+
+    def pairs(table: Column, t: Column) -> Column:
+        rows = F.regexp_extract_all(table, F.lit(r"(?is)<tr\b[^>]*>(.*?)</tr>"), F.lit(1))
+        split = F.filter(F.transform(rows, lambda row, r: F.struct(r.alias("r"), cells(row).alias("c"))), lambda p: F.size(p["c"]) == 2)
+        return F.transform(
+            split,
+            lambda p: F.struct(
+                F.when(t == 0, "specs").otherwise("features").alias("kind"),
+                normalize_label(plain_text(p["c"][0]), drop).alias("key"),
+                (t.cast("bigint") * (1 << 24) + p["r"]).alias("ord"),
+                _cell_value(p["c"][1]).alias("value"),
+            ),
+        )
+
     tables = F.regexp_extract_all("html", F.lit(r"(?is)<table\b.*?</table>"), F.lit(0))
-    rows = pages.select("product_id", F.posexplode(tables).alias("_t", "_table")).select(
-        "product_id", "_t", F.posexplode(F.regexp_extract_all("_table", F.lit(r"(?is)<tr\b[^>]*>(.*?)</tr>"), F.lit(1))).alias("_r", "_row")
+    kept = F.filter(
+        F.flatten(F.transform(tables, pairs)), lambda e: ~e["key"].isin("", "_") & ~e["value"].isin("", "-", "N/A")
     )
-    cells = F.regexp_extract_all("_row", F.lit(r"(?is)<t[dh]\b[^>]*>(.*?)</t[dh]>"), F.lit(1))
-    pairs = rows.withColumn("_cells", cells).where(F.size("_cells") == 2)
-    eav = pairs.select(
-        "product_id",
-        F.when(F.col("_t") == 0, "specs").otherwise("features").alias("kind"),
-        (F.col("_t").cast("bigint") * (1 << 24) + F.col("_r")).alias("ord"),
-        normalize_label(plain_text(F.col("_cells")[0]), drop).alias("key"),
-        _cell_value(F.col("_cells")[1]).alias("value"),
-    ).where(~F.col("key").isin("", "_") & ~F.col("value").isin("", "-", "N/A"))
-    return keep_last_value(eav).select(*EAV_COLUMNS)
+    return pages.select("product_id", F.inline(_last_of_repeated(kept))).select(*EAV_COLUMNS)
 
 
 _AGGREGATE = "aggregateRating struct<ratingValue:string,reviewCount:string>, review array<struct<reviewBody:string>>"
