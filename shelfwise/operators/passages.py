@@ -144,12 +144,16 @@ def select_passages(docs: DataFrame, budget: int = 50000, size: int = 1000, over
     """Adds `passage`: the whole text when short, else its densest windows within the budget."""
     text = F.col("text")
     long = (F.length(text) > _SHORT_TEXT) & (F.length(text) > budget)
-    runs = F.when(long, _stitched(_selected(_scored(text, size, overlap), budget), budget))
-    joined = F.array_join(F.transform("_runs", lambda r: F.substring(text, r["start"] + 1, r["end"] - r["start"])), PASSAGE_SEPARATOR)
-    return docs.withColumn("_runs", runs).withColumn(
+
+    def chosen(scored: Column) -> Column:
+        return F.struct((F.size(scored) > 0).alias("dense"), _stitched(_selected(scored, budget), budget).alias("runs"))
+
+    found = F.when(long, F.transform(F.array(_scored(text, size, overlap)), chosen)[0])
+    joined = F.array_join(F.transform("_found.runs", lambda r: F.substring(text, r["start"] + 1, r["end"] - r["start"])), PASSAGE_SEPARATOR)
+    return docs.withColumn("_found", found).withColumn(
         "passage",
-        F.when(F.col("_runs").isNull(), text).when(F.size("_runs") == 0, F.substring(text, 1, budget)).otherwise(without_contents_lines(joined)),
-    ).drop("_runs")
+        F.when(F.col("_found").isNull(), text).when(F.col("_found.dense"), without_contents_lines(joined)).otherwise(F.substring(text, 1, budget)),
+    ).drop("_found")
 
 
 def density_report(pairs: DataFrame, before: str, after: str) -> DataFrame:

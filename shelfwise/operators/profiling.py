@@ -194,23 +194,31 @@ def similar_keys(keys: DataFrame, min_similarity: float = 0.85) -> DataFrame:
     """
     if not 0.8 <= min_similarity <= 1:
         raise ValueError("min_similarity must lie between 0.8 and 1: below that bigrams cannot bound the ratio")
+    length = F.col("_len")
     keys = keys.select(
         "key", "products", "first_place", F.length("key").alias("_len"), _without_suffix(F.col("key")).alias("_base")
-    )
-    starts = F.sequence(F.lit(1), F.greatest(F.col("_len") - 1, F.lit(1)))
-    grams = keys.select("key", "_len", F.explode(F.transform(starts, lambda i: F.substring("key", i, F.lit(2)))).alias("_g"))
+    ).withColumn("_least", F.coalesce(_least_shared(length, min_similarity), length))
+
+    def pieces(df: DataFrame, size: int) -> DataFrame:
+        starts = F.sequence(F.lit(1), F.greatest(length - size + 1, F.lit(1)))
+        return df.select("key", "_len", "_least", F.explode(F.transform(starts, lambda i: F.substring("key", i, F.lit(size)))).alias("_g"))
+
     # Repeated bigrams of one key are told apart by a running number.
-    numbered = grams.groupBy("key", "_len", "_g").agg(F.count("*").alias("_times")).select(
-        "key", "_len", F.explode(F.transform(F.sequence(F.lit(1), F.col("_times").cast("int")), lambda i: F.concat("_g", F.lit("#"), i.cast("string")))).alias("_g")
-    )
+    counted = pieces(keys, 2).groupBy("key", "_len", "_least", "_g").agg(F.count("*").cast("int").alias("_times"))
+    numbered = counted.select("key", "_len", "_least", F.explode(
+        F.transform(F.sequence(F.lit(1), F.col("_times")), lambda i: F.concat("_g", F.lit("#"), i.cast("string")))
+    ).alias("_g"))
     frequency = numbered.groupBy("_g").agg(F.count("*").alias("_f"))
     per_key = Window.partitionBy("key").orderBy("_f", "_g")
-    offered = (
+    rarest = (
         numbered.join(frequency, "_g")
         .withColumn("_rarity", F.row_number().over(per_key))
-        .where(F.col("_rarity") <= F.col("_len") - 1 - F.greatest(F.coalesce(_least_shared(F.col("_len"), min_similarity), F.col("_len") - 1), F.lit(1)) + 1)
+        .where(F.col("_rarity") <= length - F.greatest("_least", F.lit(1)))
         .select("key", "_len", "_g")
     )
+    # Keys of a few characters may match without a common bigram; they offer their characters too.
+    characters = pieces(keys.where("_least <= 0"), 1).select("key", "_len", "_g").distinct()
+    offered = rarest.unionByName(characters)
     left = offered.select(F.col("key").alias("k1"), F.col("_len").alias("l1"), "_g")
     right = offered.select(F.col("key").alias("k2"), F.col("_len").alias("l2"), "_g")
     lengths_allow = 2 * F.least("l1", "l2") >= (F.col("l1") + F.col("l2")) * min_similarity - 1e-9
