@@ -35,6 +35,14 @@ def snapshot_score(snapshots: DataFrame, prior_mean=RATING_PRIOR_MEAN) -> DataFr
     return rated.withColumn("rating_score", weighted_rating(F.col("rating"), F.col("count"), prior_mean))
 
 
+def attach_scores(picked: DataFrame, snapshots: DataFrame, prior_mean=RATING_PRIOR_MEAN) -> DataFrame:
+    """Weighted score of each picked review (product_id, source) from the rating snapshot of its source."""
+    rated = snapshots.select("product_id", "source", "rating", "count")
+    return picked.join(rated, ["product_id", "source"], "left").withColumn(
+        "rating_score", weighted_rating(F.col("rating"), F.col("count"), prior_mean)
+    )
+
+
 def global_rating(snapshots: DataFrame) -> DataFrame:
     """Mean rating weighted by review counts; the prior mean where there are no reviews."""
     total = F.sum("count")

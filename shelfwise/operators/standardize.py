@@ -13,6 +13,7 @@ from shelfwise.functions.text import (
 from shelfwise.operators.attributes import keep_last_value
 from shelfwise.rules import BOOLEAN_WORDS, RESIDUAL_UNITS, UNIT_PATTERNS
 from shelfwise.schemas import APPENDED, EAV_COLUMNS
+from shelfwise.session import small_side
 
 # Every unit pattern needs one of these, so most plain values skip the whole cascade.
 _MAY_HOLD_UNIT = r"\d\.?\s*[A-Za-z°%]|£"
@@ -162,22 +163,32 @@ def resolve_and_unify(eav: DataFrame, merges: DataFrame) -> DataFrame:
     )
 
 
-def key_coverage(eav: DataFrame, n_products: Column, percent: float) -> DataFrame:
-    """Per key: product count and whether it reaches `max(1, floor(n * percent / 100))`."""
+def key_stats(eav: DataFrame) -> DataFrame:
+    """Per kind and key: how many products have it, and whether all its non-blank values are boolean."""
+    boolean = F.lower(strip(F.col("value"))).isin(BOOLEAN_WORDS)
+    all_boolean = F.bool_and(F.when(~is_blank(F.col("value")), boolean))
+    return eav.groupBy("kind", "key").agg(F.count("*").alias("products"), F.coalesce(all_boolean, F.lit(False)).alias("boolean"))
+
+
+def covered_keys(stats: DataFrame, n_products: Column, percent: float) -> DataFrame:
+    """Adds `kept`: the key reaches `max(1, floor(n * percent / 100))` products."""
     least = F.greatest(F.lit(1), F.floor(n_products * percent / 100))
-    counts = eav.groupBy("kind", "key").agg(F.count("*").alias("products"))
-    return counts.withColumn("kept", F.col("products") >= least)
+    return stats.withColumn("kept", F.col("products") >= least)
+
+
+def key_coverage(eav: DataFrame, n_products: Column, percent: float) -> DataFrame:
+    return covered_keys(eav.groupBy("kind", "key").agg(F.count("*").alias("products")), n_products, percent)
 
 
 def filter_coverage(eav: DataFrame, n_products: Column, percent: float = 10.0) -> DataFrame:
     """Keep keys that enough products have; 0 percent keeps all."""
     if percent <= 0:
         return eav
-    return keep_keys(eav, key_coverage(eav, n_products, percent).where("kept"))
+    return keep_keys(eav, small_side(key_coverage(eav, n_products, percent).where("kept").select("kind", "key")))
 
 
 def keep_keys(eav: DataFrame, kept: DataFrame) -> DataFrame:
-    return eav.join(kept.select("kind", "key"), ["kind", "key"], "left_semi").select(*EAV_COLUMNS)
+    return eav.join(kept, ["kind", "key"], "left_semi").select(*EAV_COLUMNS)
 
 
 def coverage_stats(eav: DataFrame, n_products: Column, percent: float = 10.0) -> DataFrame:
@@ -195,18 +206,19 @@ def normalize_values(eav: DataFrame, value_map: DataFrame) -> DataFrame:
     )
 
 
-def kind_moves(eav: DataFrame) -> DataFrame:
+def moves_of(stats: DataFrame) -> DataFrame:
     """Per key: does its specs column hold only booleans, does its features column hold others."""
-    boolean = F.lower(strip(F.col("value"))).isin(BOOLEAN_WORDS)
-    all_boolean = F.bool_and(F.when(~is_blank(F.col("value")), boolean))
-    per_kind = eav.groupBy("kind", "key").agg(F.coalesce(all_boolean, F.lit(False)).alias("boolean"))
-    return per_kind.groupBy("key").agg(
+    return stats.groupBy("key").agg(
         F.bool_or((F.col("kind") == "specs") & F.col("boolean")).alias("to_features"),
         F.bool_or((F.col("kind") == "features") & ~F.col("boolean")).alias("to_specs"),
         (F.count("*") > 1).alias("in_both"),
     )
 
 
+def kind_moves(eav: DataFrame) -> DataFrame:
+    return moves_of(key_stats(eav))
+
+
 def assign_kinds(eav: DataFrame, moves: DataFrame | None = None) -> DataFrame:
     """Boolean specs move to features, then non-boolean features move to specs; moved values overwrite.
 
@@ -214,7 +226,7 @@ def assign_kinds(eav: DataFrame, moves: DataFrame | None = None) -> DataFrame:
     replaces the moves found in `eav` itself; keys it does not know stay where they are.
     """
     no = F.lit(False)
-    rows = eav.join(kind_moves(eav) if moves is None else moves, "key", "left").withColumns(
+    rows = eav.join(small_side(kind_moves(eav)) if moves is None else moves, "key", "left").withColumns(
         {name: F.coalesce(name, no) for name in ("to_features", "to_specs", "in_both")}
     )
     from_specs = F.col("kind") == "specs"
@@ -242,6 +254,15 @@ def assign_kinds(eav: DataFrame, moves: DataFrame | None = None) -> DataFrame:
     return alone.unionByName(meeting)
 
 
+def kind_stats(eav: DataFrame) -> DataFrame:
+    """Fields that move each way, and values lost because a moved field overwrote another."""
+    moves = kind_moves(eav).agg(
+        F.count_if("to_features").alias("boolean_fields_in_specs"), F.count_if("to_specs").alias("non_boolean_fields_in_features")
+    )
+    counts = eav.agg(F.count("*").alias("n")).unionByName(assign_kinds(eav).agg((-F.count("*")).alias("n")))
+    return moves.withColumn("values_lost", counts.agg(F.sum("n")).scalar())
+
+
 def residual_units(value: Column, units: list[str] = RESIDUAL_UNITS) -> Column:
     """Names of the units that still follow a number in the value."""
     found = [F.when(value.rlike(rf"(?i)\b(\d+\.?\d*)\s*{re.escape(u)}\b"), u) for u in units]

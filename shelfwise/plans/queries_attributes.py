@@ -266,6 +266,16 @@ def _(v):
     return st.assign_kinds(two_kinds(v))
 
 
+@REGISTRY.add("C14_kind_stats", f"""
+with two as materialized {TWO_KINDS}, moved as materialized ({sql_kinds('two')}),
+stats as (select kind, key, coalesce(bool_and(lower(trim(value)) in ({quoted(BOOLEAN_WORDS)})) filter (where trim(value) <> ''), false) as b from two group by kind, key)
+select count(distinct key) filter (where kind = 'specs' and b) as boolean_fields_in_specs,
+       count(distinct key) filter (where kind = 'features' and not b) as non_boolean_fields_in_features,
+       (select count(*) from two) - (select count(*) from moved) as values_lost from stats""")
+def _(v):
+    return st.kind_stats(two_kinds(v))
+
+
 @REGISTRY.add("C15_validate", rf"""
 with named as (select product_id, kind, ord, key, value from fx_spec
                union all select product_id, 'specs', 50, 'DEPTH', value from fx_spec where key = 'depth'),

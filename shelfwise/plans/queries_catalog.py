@@ -214,7 +214,10 @@ def _(v):
     return ct.slug_collisions(ct.build_slugs(v.fx_product.select("product_id", F.expr(_SLUG_NAME).alias("name")), fold=False))
 
 
-@REGISTRY.add("B11_document_slugs")
+@REGISTRY.add("B11_document_slugs", r"""
+select doc_id as product_id, case when s = '' then 'product' else rtrim(s[1:100], '-') end as slug,
+  array_to_string(list_transform(string_split(case when s = '' then 'product' else rtrim(s[1:100], '-') end, '-'), lambda w: upper(w[1]) || lower(w[2:])), ' ') as display_name from (
+  select doc_id, lower(trim(regexp_replace(regexp_replace(regexp_replace(strip_accents(text), '[\s_]+', '-', 'g'), '[^a-zA-Z0-9\-]', '', 'g'), '-+', '-', 'g'), '-')) as s from documents) q""")
 def _(v):
     """Slugs of whole document texts in four languages; accents need the folding step."""
     return ct.build_slugs(v.documents.select(F.col("doc_id").alias("product_id"), F.col("text").alias("name"))).drop("name")

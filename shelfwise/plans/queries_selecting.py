@@ -180,6 +180,23 @@ def _(v):
     return se.pick_review_source(reviews, ["S2", "S0", "S4"])
 
 
+@REGISTRY.add("H10_scored_reviews", f"""
+with u as (select product_id, source_name as source, {_SUMMARY} as summary, ord from fx_attempt where source_name in ('S2', 'S0', 'S4')),
+r as (select * from u where summary is not null and summary <> '{EMPTY_REVIEW}'
+      qualify row_number() over (partition by product_id order by case source when 'S2' then 0 when 'S0' then 1 else 2 end, ord) = 1),
+s as (select product_id, source_name as source, floor(avg(spec_count) / 1.2::double) / 10 as rating, count(*) * 20 as count
+      from fx_attempt where spec_count % 4 > 0 group by product_id, source_name)
+select r.product_id, r.source, rating, count, case when rating <> 0 then round((count / (cast(count as double) + 30) * rating + 30 / (cast(count as double) + 30) * 4.0::double) / 5 * 100, 1) end as rating_score
+from r left join s on s.product_id = r.product_id and s.source = r.source""")
+def _(v):
+    reviews = v.fx_attempt.selectExpr("product_id", "source_name as source", f"{_SUMMARY} as summary", "ord")
+    picked = se.pick_review_source(reviews, ["S2", "S0", "S4"]).select("product_id", "source")
+    snapshots = v.fx_attempt.where("spec_count % 4 > 0").groupBy("product_id", F.col("source_name").alias("source")).agg(
+        (F.floor(F.avg("spec_count") / 1.2) / 10).alias("rating"), (F.count("*") * 20).alias("count")
+    )
+    return rv.attach_scores(picked, snapshots)
+
+
 @REGISTRY.add("H11_fan_out_pages", r"""
 select product_id, ord, cast(page as int) as page,
   replace(regexp_replace(regexp_extract(url, '^[^?#]*', 0), '\.aspx.*$', ''), '/product/', '/p/reviews/') || '?order=HelpfulnessDescending&page=' || cast(page as varchar) as page_url

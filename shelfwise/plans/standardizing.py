@@ -11,7 +11,7 @@ from shelfwise.functions.tables import rule_table
 from shelfwise.operators import standardize as st
 from shelfwise.operators.attributes import delete_keys, remove_cross_kind
 from shelfwise.schemas import EAV_COLUMNS
-from shelfwise.session import cut_lineage
+from shelfwise.session import cut_lineage, small_side
 
 
 @dataclass
@@ -45,16 +45,17 @@ def product_rules(eav: DataFrame, rules: RuleSet) -> DataFrame:
     return remove_cross_kind(delete_keys(unified, rules.deletions), rules.remove_specs, rules.remove_features)
 
 
-def standardize(
-    eav: DataFrame, products: DataFrame, rules: RuleSet, value_map: DataFrame, percent: float = 10.0, materialize=cut_lineage,
-) -> DataFrame:
+def standardize(eav: DataFrame, products: DataFrame, rules: RuleSet, value_map: DataFrame, percent: float = 10.0) -> DataFrame:
     """Units, keys, coverage, values and kinds.
 
-    The product-local result is read by the coverage counts, the kind statistics and the output, so
-    it is written once by `materialize` instead of being computed three times.
+    The product-local result is written once to the shared folder. One pass over it counts every
+    key; coverage and kind moves then follow from that small table, and a second pass applies them.
     """
     n_products = products.agg(F.count("*").alias("n")).scalar()
-    local = materialize(product_rules(eav, rules)) if materialize else product_rules(eav, rules)
-    covered = st.filter_coverage(local, n_products, percent)
-    valued = st.normalize_values(covered, value_map).select(*EAV_COLUMNS)
-    return st.assign_kinds(valued)
+    local = cut_lineage(product_rules(eav, rules))
+    valued = st.normalize_values(local, value_map).select(*EAV_COLUMNS)
+    stats = small_side(st.covered_keys(st.key_stats(valued), n_products, percent))
+    kept = stats.where("kept") if percent > 0 else stats
+    moves = small_side(st.moves_of(kept))
+    covered = st.keep_keys(valued, kept.select("kind", "key"))
+    return st.assign_kinds(covered, moves)

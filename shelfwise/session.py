@@ -6,19 +6,20 @@ import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 DEFAULTS = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
 }
 
 
 def build_session(app_name: str = "shelfwise", master: str | None = None, **conf: str) -> SparkSession:
-    """Session with adaptive execution on. ``conf`` keys use ``_`` for ``.``-free names only, so
-    pass dotted names through ``**{"spark.x.y": "z"}``."""
+    """Session with adaptive execution on; pass dotted settings as ``**{"spark.x.y": "z"}``."""
     builder = SparkSession.builder.appName(app_name)
     if master:
         builder = builder.master(master)
@@ -27,6 +28,12 @@ def build_session(app_name: str = "shelfwise", master: str | None = None, **conf
     return builder.getOrCreate()
 
 
+def prepare(spark: SparkSession) -> None:
+    """Settings a session made elsewhere needs so that one hot join key is split, even where an
+    aggregate could reuse the partitioning of the join."""
+    spark.conf.set("spark.sql.adaptive.forceOptimizeSkewedJoin", "true")
+
+
 def shared_dir(spark: SparkSession) -> str:
     """Folder every executor can reach, as named by ``spark.checkpoint.dir``.
 
@@ -47,3 +54,14 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     """Reliable checkpoint in the shared folder: it survives lost executors."""
     shared_dir(df.sparkSession)
     return df.checkpoint(eager=True)
+
+
+def small_side(df: DataFrame, max_rows: int = 500_000) -> DataFrame:
+    """Join side that is computed once, counted, and broadcast only if it is small.
+
+    For tables with one row per attribute key. Broadcasting one keeps the long table, which it is
+    joined to, from being shuffled on keys that a third of its rows may share. A larger table is
+    left to the adaptive join, which splits such keys.
+    """
+    table = cut_lineage(df)
+    return F.broadcast(table) if table.count() <= max_rows else table

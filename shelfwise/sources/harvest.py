@@ -25,9 +25,12 @@ def plain_text(html: Column) -> Column:
 
 
 def _cell_value(html: Column) -> Column:
-    """Check and cross icons read as Yes and No."""
+    """Check and cross icons read as Yes and No; of a shortened text the full form is taken."""
+    full = extract_or_null(html, r'(?is)<[^>]*a-truncate-full[^>]*>(.*?)</span>')
     check, cross = F.contains(html, F.lit('data-icon="check"')), F.contains(html, F.lit('data-icon="xmark"'))
-    return F.when(check, "Yes").when(cross, "No").otherwise(plain_text(html))
+    return F.when(check, "Yes").when(cross, "No").when(
+        F.contains(html, F.lit("a-truncate-full")), plain_text(F.coalesce(full, html))
+    ).otherwise(plain_text(html))
 
 
 def _last_of_repeated(entries: Column) -> Column:

@@ -1,4 +1,3 @@
-import pytest
 from pyspark.sql import functions as F
 
 from shelfwise.functions.tables import rule_table
@@ -7,7 +6,7 @@ from shelfwise.operators import standardize as st
 from shelfwise.plans.standardizing import RuleSet, product_rules, standardize
 
 
-@pytest.mark.parametrize("value, key, number", [
+AUTO_UNITS = [
     ("2.1 cm", "k_cm", "2.1"),
     ("630 mm", "k_cm", "63"),
     ("635 mm", "k_cm", "63.5"),
@@ -21,9 +20,12 @@ from shelfwise.plans.standardizing import RuleSet, product_rules, standardize
     ("1.5 kWh", "k_kwh", "1.5"),
     ("  8 litres ", "k_l", "8"),
     ("42", "k", "42"),
-])
-def test_auto_units(eav, pairs, value, key, number):
-    assert pairs(st.extract_units_auto(eav((1, "specs", 0, "k", value)))) == [(key, number)]
+]
+
+
+def test_auto_units(eav, pairs):
+    rows = eav(*[(i, "specs", 0, "k", value) for i, (value, _, _) in enumerate(AUTO_UNITS)])
+    assert pairs(st.extract_units_auto(rows)) == [(key, number) for _, key, number in AUTO_UNITS]
 
 
 def test_auto_units_keep_existing_suffix_and_strict_percent(eav, pairs):
@@ -31,20 +33,25 @@ def test_auto_units_keep_existing_suffix_and_strict_percent(eav, pairs):
     assert pairs(st.extract_units_auto(eav((1, "specs", 0, "k", "50%")), strict=True)) == [("k_percent", "50")]
 
 
-@pytest.mark.parametrize("value, units, new_key, strict, expected", [
-    ("630 mm", ["cm"], "width_cm", True, "63"),
-    ("630 mm", ["mm"], "width_mm", True, "630"),
-    ("6,2 Litres", ["L", "Litres"], "capacity_l", True, "6.2"),
-    ("1–48 hr", ["hr"], "delay_hr", True, "1-48"),
-    ("about 5 kg net", ["kg"], "weight_kg", True, "about 5net"),
-    ("1,2,3", ["kg"], "weight_kg", True, "1.2,3"),
-    ("Quick programme", ["min"], "quick", True, "Quick programme"),
-    ("Quick programme", ["min"], "quick", False, "Quick prograe"),
-    ("x.y (kg)", ["(kg)"], "w", True, "x.y"),
-])
-def test_rule_units(spark, eav, pairs, value, units, new_key, strict, expected):
-    rules = rule_table(spark, {"key": ["k"], "units": [units], "new_key": [new_key]})
-    assert pairs(st.extract_units_rules(eav((1, "specs", 0, "k", value)), rules, strict)) == [(new_key, expected)]
+RULE_UNITS = [
+    ("630 mm", ["cm"], "width_cm", "63"),
+    ("630 mm", ["mm"], "width_mm", "630"),
+    ("6,2 Litres", ["L", "Litres"], "capacity_l", "6.2"),
+    ("1–48 hr", ["hr"], "delay_hr", "1-48"),
+    ("about 5 kg net", ["kg"], "weight_kg", "about 5net"),
+    ("1,2,3", ["kg"], "weight_kg", "1.2,3"),
+    ("Quick programme", ["min"], "quick", "Quick programme"),
+    ("x.y (kg)", ["(kg)"], "w", "x.y"),
+]
+
+
+def test_rule_units(spark, eav, pairs):
+    keys = [f"k{i}" for i in range(len(RULE_UNITS))]
+    rules = rule_table(spark, {"key": keys, "units": [u for _, u, _, _ in RULE_UNITS], "new_key": [n for _, _, n, _ in RULE_UNITS]})
+    rows = eav(*[(i, "specs", 0, keys[i], value) for i, (value, _, _, _) in enumerate(RULE_UNITS)])
+    assert pairs(st.extract_units_rules(rows, rules)) == [(new, expected) for _, _, new, expected in RULE_UNITS]
+    last_but_one = pairs(st.extract_units_rules(rows, rules, strict=False))[6]
+    assert last_but_one == ("quick", "Quick prograe")
 
 
 def test_collision_keeps_first_position_and_last_value(eav):
