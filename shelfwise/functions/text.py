@@ -60,10 +60,11 @@ def plain_number_text(number: Column) -> Column:
 
 
 def whole_or_decimal_text(number: Column) -> Column:
-    """`63.0` -> `63`, `62.5` -> `62.5`."""
-    return F.when(number == F.floor(number), number.cast("decimal(38,0)").cast("string")).otherwise(
-        plain_number_text(number)
-    )
+    """`63.0` -> `63`, `62.5` -> `62.5`. The one-element array computes `number` once."""
+    def text(n: Column) -> Column:
+        return F.when(n == F.floor(n), n.cast("decimal(38,0)").cast("string")).otherwise(plain_number_text(n))
+
+    return F.transform(F.array(number), text)[0]
 
 
 def clean_number_text(value: Column) -> Column:

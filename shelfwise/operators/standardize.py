@@ -58,32 +58,33 @@ def extract_units_auto(eav: DataFrame, strict: bool = False) -> DataFrame:
     )
 
 
-def _ruled_value(value: Column, units: Column, new_key: Column, strict: bool) -> Column:
-    """Number left after removing the unit a rule names.
+def _with_ruled_value(df: DataFrame, strict: bool) -> DataFrame:
+    """Adds `_ruled_value`: the number left after removing the unit the rule in `_units` names.
 
-    `units` must be sorted longest first. `strict` treats `mm` as millimetres only behind a digit;
-    otherwise any `mm` is cut, also inside a word.
+    `_units` is sorted longest first. `strict` treats `mm` as millimetres only behind a digit;
+    otherwise any `mm` is cut, also inside a word. Steps are columns of their own, so each is
+    computed once; without a rule they stay null.
     """
-    text = strip(value)
+    text, lowered, new_key = F.col("_text"), F.lower("_text"), F.col("_new_key")
     if strict:
         millimetres, cut = text.rlike(r"(?i)\d\s*mm"), F.regexp_replace(text, r"(?i)(\d)\s*mm\s*", "$1")
     else:
         millimetres, cut = text.rlike("(?i)mm"), F.regexp_replace(text, r"(?i)\s*mm\s*", "")
-    cut = clean_number_text(strip(cut))
-    as_number = F.when(cut.rlike(r"^[+-]?(\d+\.?\d*|\.\d+)$"), cut.cast("double") / 10)
-    in_cm = F.when(new_key.endswith("_cm") & as_number.isNotNull(), whole_or_decimal_text(as_number)).otherwise(cut)
-
-    lowered = F.lower(text)
-    at_end = F.get(F.filter(units, lambda u: lowered.endswith(F.lower(u))), F.lit(0))
-    anywhere = F.get(F.filter(units, lambda u: F.contains(lowered, F.lower(u))), F.lit(0))
-    without_end = F.substring(text, F.lit(1), F.length(text) - F.length(at_end))
-    pattern = F.concat(F.lit(r"(?i)\s*\Q"), anywhere, F.lit(r"\E\s*"))
-    return (
-        F.when(millimetres, in_cm)
-        .when(at_end.isNotNull(), clean_number_text(strip(without_end)))
-        .when(anywhere.isNotNull(), clean_number_text(strip(F.regexp_replace(text, pattern, F.lit("")))))
-        .otherwise(clean_number_text(text))
+    df = df.withColumn("_text", F.when(new_key.isNotNull(), strip(F.col("value")))).withColumns({
+        "_cut": F.when(millimetres, clean_number_text(strip(cut))),
+        "_at_end": F.get(F.filter("_units", lambda u: lowered.endswith(F.lower(u))), F.lit(0)),
+        "_anywhere": F.get(F.filter("_units", lambda u: F.contains(lowered, F.lower(u))), F.lit(0)),
+    })
+    cut = F.col("_cut")
+    tenth = F.when(new_key.endswith("_cm") & cut.rlike(r"^[+-]?(\d+\.?\d*|\.\d+)$"), cut.cast("double") / 10)
+    pattern = F.concat(F.lit(r"(?i)\s*\Q"), "_anywhere", F.lit(r"\E\s*"))
+    bare = (
+        F.when(F.col("_at_end").isNotNull(), F.substring(text, F.lit(1), F.length(text) - F.length("_at_end")))
+        .when(F.col("_anywhere").isNotNull(), F.regexp_replace(text, pattern, F.lit("")))
+        .otherwise(text)
     )
+    value = F.coalesce(F.when(cut.isNotNull(), F.coalesce(whole_or_decimal_text(tenth), cut)), clean_number_text(strip(bare)))
+    return df.withColumn("_ruled_value", value).drop("_text", "_cut", "_at_end", "_anywhere")
 
 
 def _with_rules(eav: DataFrame, rules: DataFrame) -> DataFrame:
@@ -97,12 +98,10 @@ def _with_rules(eav: DataFrame, rules: DataFrame) -> DataFrame:
 
 def extract_units_rules(eav: DataFrame, rules: DataFrame, strict: bool = True) -> DataFrame:
     """Apply unit rules (key, units array, new_key); keys without a rule pass unchanged."""
-    ruled = F.col("_new_key").isNotNull()
-    value = _ruled_value(F.col("value"), F.col("_units"), F.col("_new_key"), strict)
-    return _with_rules(eav, rules).select(
+    return _with_ruled_value(_with_rules(eav, rules), strict).select(
         "product_id", "kind", "ord",
         F.coalesce("_new_key", "key").alias("key"),
-        F.when(ruled, value).otherwise(F.col("value")).alias("value"),
+        F.coalesce("_ruled_value", "value").alias("value"),
     )
 
 
@@ -110,12 +109,10 @@ def extract_units(eav: DataFrame, rules: DataFrame | None = None, strict_rules:
     """Rules first, detection for the other keys. Narrow apart from the rule join; keys may repeat after."""
     if rules is None:
         return extract_units_auto(eav, strict_auto)
-    ruled = F.col("_new_key").isNotNull()
-    value = _ruled_value(F.col("value"), F.col("_units"), F.col("_new_key"), strict_rules)
-    return _with_auto_units(_with_rules(eav, rules), strict_auto).select(
+    return _with_auto_units(_with_ruled_value(_with_rules(eav, rules), strict_rules), strict_auto).select(
         "product_id", "kind", "ord",
-        F.when(ruled, F.col("_new_key")).otherwise(F.col("_auto_key")).alias("key"),
-        F.when(ruled, value).otherwise(F.col("_auto_value")).alias("value"),
+        F.coalesce("_new_key", "_auto_key").alias("key"),
+        F.coalesce("_ruled_value", "_auto_value").alias("value"),
     )
 
 
