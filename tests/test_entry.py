@@ -35,3 +35,12 @@ def test_filters_and_columns_reach_the_scan(spark):
     plan = entry_module.queries()["K11_lookup"](spark, SMALL)._jdf.queryExecution().executedPlan().toString()
     assert "PushedFilters: [IsNotNull(l_quantity), GreaterThan(l_quantity,49.0)" in plan
     assert "ReadSchema: struct<l_partkey:bigint,l_quantity:double>" in plan
+
+
+def test_rankings_keep_few_rows_per_group_before_the_shuffle(spark):
+    for name in (
+        "D01_analyze_keys", "D06_key_report", "G07_review_corpus", "H02_select_source", "H05_pick_links", "H06_score_documents",
+        "H10_pick_review_source", "K05_common_features",
+    ):
+        plan = entry_module.queries()[name](spark, SMALL)._jdf.queryExecution().executedPlan().toString()
+        assert "WindowGroupLimit" in plan, name
