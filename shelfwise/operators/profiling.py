@@ -11,6 +11,7 @@ from shelfwise.functions.text import is_blank, is_numeric_text, one_decimal
 from shelfwise.rules import (
     BLACKLIST_KEYS, STANDARD_UNIT_SPELLINGS, UNIT_BEARING_VALUE, UNIT_SPELLINGS, VARIANT_SUFFIXES, YES_NO_VARIANTS,
 )
+from shelfwise.session import cut_lineage
 
 
 def unit_bearing(eav: DataFrame) -> DataFrame:
@@ -198,6 +199,7 @@ def similar_keys(keys: DataFrame, min_similarity: float = 0.85) -> DataFrame:
     keys = keys.select(
         "key", "products", "first_place", F.length("key").alias("_len"), _without_suffix(F.col("key")).alias("_base")
     ).withColumn("_least", F.coalesce(_least_shared(length, min_similarity), length))
+    keys = cut_lineage(keys)  # read six times below; one row per key
 
     def pieces(df: DataFrame, size: int) -> DataFrame:
         starts = F.sequence(F.lit(1), F.greatest(length - size + 1, F.lit(1)))

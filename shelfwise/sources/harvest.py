@@ -122,16 +122,18 @@ def harvest_ratings(pages: DataFrame) -> DataFrame:
 
 def harvest_listing(pages: DataFrame, origin: str) -> DataFrame:
     """Product cards (name, price text, link); cards without a name or a price are dropped."""
-    cards = F.regexp_extract_all("html", F.lit(r'(?is)<li class="item">(.*?)</li>'), F.lit(1))
-    card = F.col("_card")
-    name = strip(F.regexp_replace(plain_text(F.regexp_extract(card, r"(?is)<h3>(.*?)</h3>", 1)), r"\n+", " "))
-    price = strip(F.regexp_replace(plain_text(F.regexp_extract(card, r'(?is)<span class="price">(.*?)</span>', 1)), "(?i)View retailers?", ""))
-    href = extract_or_null(card, r'(?is)<a [^>]*href="([^"]*)"')
-    return (
-        pages.select("page_id", F.posexplode(cards).alias("position", "_card"))
-        .select("page_id", "position", name.alias("name"), price.alias("price_text"), F.when(href.startswith("http"), href).otherwise(F.concat(F.lit(origin), href)).alias("link"))
-        .where("name <> '' and price_text <> ''")
-    )
+    def read(card: Column, position: Column) -> Column:
+        name = strip(F.regexp_replace(plain_text(F.regexp_extract(card, r"(?is)<h3>(.*?)</h3>", 1)), r"\n+", " "))
+        price = plain_text(F.regexp_extract(card, r'(?is)<span class="price">(.*?)</span>', 1))
+        href = extract_or_null(card, r'(?is)<a [^>]*href="([^"]*)"')
+        return F.struct(
+            position.alias("position"), name.alias("name"),
+            strip(F.regexp_replace(price, "(?i)View retailers?", "")).alias("price_text"),
+            F.when(href.startswith("http"), href).otherwise(F.concat(F.lit(origin), href)).alias("link"),
+        )
+
+    cards = F.transform(F.regexp_extract_all("html", F.lit(r'(?is)<li class="item">(.*?)</li>'), F.lit(1)), read)
+    return pages.select("page_id", F.inline(F.filter(cards, lambda c: (c["name"] != "") & (c["price_text"] != ""))))
 
 
 def page_count(pages: DataFrame) -> DataFrame:
