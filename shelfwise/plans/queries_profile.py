@@ -9,7 +9,7 @@ from shelfwise.operators import profiling as pf
 from shelfwise.plans.queries_attributes import n_products, quoted
 from shelfwise.plans.registry import REGISTRY
 from shelfwise.rules import (
-    BLACKLIST_KEYS, BOOLEAN_FIELDS, NUMERIC_FIELD, STANDARD_UNIT_SPELLINGS, UNIT_SPELLINGS, VARIANT_SUFFIXES, YES_NO_VARIANTS,
+    BLACKLIST_KEYS, BOOLEAN_FIELDS, METADATA_EXCLUDED_SPECS, NUMERIC_FIELD, STANDARD_UNIT_SPELLINGS, UNIT_SPELLINGS, VARIANT_SUFFIXES, YES_NO_VARIANTS,
 )
 
 # Specs keys of two more sources, so that spellings of one name meet.
@@ -155,15 +155,15 @@ CATEGORY_SPEC = """(select p_size % 5 + 1 as category_id, kind, key, value from
        else '£' || cast(product_id % 60 as string) || '.5 each' end from fx_spec where key = 'depth'
   union all select product_id, 'specs', 'running_cost', case when product_id % 4 <> 0 then 'about ' || cast(product_id % 90 as string)
        else cast(product_id % 2 as string) end from fx_spec where key = 'depth'
-  union all select product_id, 'specs', 'which_test_programme', 'x' from fx_spec where key = 'depth') s
-  join part on p_partkey = product_id)"""
+  union all select product_id, 'specs', '@excluded', 'x' from fx_spec where key = 'depth') s
+  join part on p_partkey = product_id)""".replace("@excluded", METADATA_EXCLUDED_SPECS[0])
 
 
 def category_spec(v):
     depth = v.fx_spec.where("key = 'depth'")
     band = F.expr("case when product_id % 4 = 0 then 'from £' || cast(product_id % 3 as string) else '£' || cast(product_id % 60 as string) || '.5 each' end")
     cost = F.expr("case when product_id % 4 <> 0 then 'about ' || cast(product_id % 90 as string) else cast(product_id % 2 as string) end")
-    added = [("price_band", band), ("running_cost", cost), ("which_test_programme", F.lit("x"))]
+    added = [("price_band", band), ("running_cost", cost), (METADATA_EXCLUDED_SPECS[0], F.lit("x"))]
     rows = v.fx_spec
     for key, value in added:
         rows = rows.unionByName(depth.withColumn("key", F.lit(key)).withColumn("value", value))
@@ -176,7 +176,7 @@ SQL_TYPE = (
 SQL_VALUES = rf"""
 typed as (select *, {SQL_TYPE} as t, try_cast(nullif(regexp_extract(replace(replace(replace(value, '£', ''), '$', ''), '€', ''),
             '^(-?\d+(?:\.\d+)?)', 1), '') as double) as n, lower(trim(value)) as w
-          from {CATEGORY_SPEC} c where trim(value) <> '' and not (kind = 'specs' and key = 'which_test_programme')),
+          from {CATEGORY_SPEC} c where trim(value) <> '' and not (kind = 'specs' and key = '{METADATA_EXCLUDED_SPECS[0]}')),
 vals as (select distinct cast(category_id as bigint) as category_id, kind, key, case when t = 'number' then n end as num_value,
            case when t = 'boolean' then case when w in ('yes', 'true', '1') then true when w in ('no', 'false', '0') then false end end as bool_value,
            case when t = 'string' or (t = 'number' and n is null) then value end as text_value from typed),
