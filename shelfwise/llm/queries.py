@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shelfwise.llm import chat_format, decontaminate, exact_dedup, licenses
-from shelfwise.llm.common import table
+from shelfwise.llm import chat_format, decontaminate, exact_dedup, licenses, quality, toxicity, warc
+from shelfwise.llm.common import crc_mod, table
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -54,6 +54,16 @@ select doc_id, len(w)::bigint as n_words, len({starts})::bigint as n_base, list_
 from found"""
 
 
+@register("op1_toxicity")
+def toxicity_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    model = toxicity.learn(docs, labels, crc_mod("doc_id", 3) != 1)
+    scored = toxicity.score_toxicity(docs, model)
+    return scored.select(
+        "doc_id", (crc_mod("doc_id", 3) == 1).alias("held_out"), "score", (F.col("score") >= toxicity.THRESHOLD).cast("int").alias("predicted")
+    )
+
+
 @register("op2_license_scan", _license_sql())
 def license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = licenses.find_licenses(table(spark, sf_dir, "documents").select("doc_id", "text"))
@@ -88,6 +98,30 @@ def decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+@register("op5_quality")
+def quality_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    model = quality.learn(docs, labels, crc_mod("doc_id", 5) != 0)
+    scored = quality.score_quality(docs.select("doc_id", "text"), model, keep=["doc_id"])
+    return scored.select(
+        "doc_id", (crc_mod("doc_id", 5) == 0).alias("held_out"), "score", (F.col("score") >= quality.THRESHOLD).cast("int").alias("predicted")
+    )
+
+
+@register(
+    "op7_warc",
+    """
+with p as (select page_id, coalesce(html, '') as h from pages),
+d as (select page_id, strlen(h)::bigint as payload_bytes, sha256(h) as payload_digest from p),
+f as (select payload_digest, min(page_id) as first, count(*) as n from d where payload_bytes >= 100 group by payload_digest)
+select page_id, payload_bytes, payload_digest, case when n > 1 and page_id <> first then 'revisit' else 'response' end as record_type,
+       case when n > 1 and page_id <> first then first end as refers_to
+from d left join f using (payload_digest)""",
+)
+def warc_archive(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc.round_trip(table(spark, sf_dir, "pages"))
+
+
 @register(
     "op8_exact_dedup",
     r"""
