@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shelfwise.llm import chat_format, decontaminate, exact_dedup, licenses, quality, toxicity, warc
+from shelfwise.llm import bpe, chat_format, decontaminate, exact_dedup, licenses, quality, toxicity, warc
 from shelfwise.llm.common import crc_mod, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -70,6 +70,18 @@ def license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", *[f"licenses.{c}" for c in ("n_words", "n_base", "first_word", "last_word", "base_labels", "labels", "score")])
 
 
+def tokenizer_file() -> str:
+    """The public byte-level vocabulary, read where it is installed."""
+    import public_tokenizers
+
+    return public_tokenizers.path("byte_bpe_50k.json")
+
+
+@register("op3_bpe")
+def bpe_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bpe.encode_documents(table(spark, sf_dir, "documents"), tokenizer_file())
+
+
 @register(
     "op4_decontaminate",
     f"""
