@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shelfwise.llm import bpe, chat_format, decontaminate, exact_dedup, licenses, quality, toxicity, warc
+from shelfwise.llm import bpe, chat_format, decontaminate, exact_dedup, licenses, ngram_join, quality, toxicity, warc
 from shelfwise.llm.common import crc_mod, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -120,6 +120,11 @@ def quality_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@register("op6_ngram_join")
+def ngram_components(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram_join.near_duplicates(table(spark, sf_dir, "documents"), n=4, percent=85)
+
+
 @register(
     "op7_warc",
     """
