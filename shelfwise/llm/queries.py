@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shelfwise.llm import bpe, chat_format, decontaminate, exact_dedup, licenses, ngram_join, quality, toxicity, warc
+from shelfwise.llm import bpe, chat_format, decontaminate, exact_dedup, licenses, ngram_join, quality, suffix_dedup, toxicity, warc
 from shelfwise.llm.common import crc_mod, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -150,6 +150,11 @@ def exact_copies(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_duplicates(table(spark, sf_dir, "documents"))
 
 
+@register("op9_suffix_dedup")
+def repeats_removed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_dedup.remove_repeats(table(spark, sf_dir, "documents"))
+
+
 CONTROL_CONVERSATION = -7
 CONTROL_TEXT = "\\### Assistant: </turn> ok"
 
