@@ -122,19 +122,24 @@ def from_json_rows(df: DataFrame, column: str, layouts: tuple[Layout, ...] = LAY
     Rows with no known layout, broken texts among them, come back with null turns.
     """
     row = F.try_parse_json(F.col(column))
-    out, chosen = F.lit(None).cast("array<struct<role:string,text:string>>"), []
-    for layout in sorted((x for x in layouts if not x.key), key=lambda x: -len(x.paths())):
-        paths = [p.split("[]")[0] for p in layout.paths()]
-        present = F.array_compact(F.array(*[F.when(F.try_variant_get(row, f"$.{p}", "variant").isNotNull(), F.lit(q)) for p, q in zip(paths, layout.paths())]))
-        own = F.sha2(F.array_join(F.array_sort(F.array_distinct(present)), "\n").cast("binary"), 256) == fingerprint(layout.paths())
-        if layout.turns:
-            items = F.try_variant_get(row, f"$.{layout.turns}", "array<map<string,string>>")
-            turns = F.transform(items, lambda x, a=layout: _turn(x[a.role], x[a.content]))
-            own &= F.coalesce(F.forall(items, lambda x, a=layout: F.map_contains_key(x, a.role) & F.map_contains_key(x, a.content)), F.lit(False))
-        else:
-            parts = [F.try_variant_get(row, f"$.{path}", "string") for _, path in layout.parts]
-            turns = F.filter(F.array(*[F.when(p.isNotNull(), _turn(F.lit(r), p)) for (r, _), p in zip(layout.parts, parts)]), lambda x: x.isNotNull())
-        chosen.append((own, turns))
+
+    def at(path: str, kind: str) -> Column:
+        return F.try_variant_get(row, f"$.{path}", kind)
+
+    def mapping(layout: Layout) -> tuple[Column, Column]:
+        """(whether the row's paths, among those the layout asks for, have its fingerprint; its turns)"""
+        present = [F.when(at(path.split("[]")[0], "variant").isNotNull(), F.lit(path)) for path in layout.paths()]
+        found = F.array_join(F.array_sort(F.array_distinct(F.array_compact(F.array(*present)))), "\n")
+        own = F.sha2(found.cast("binary"), 256) == fingerprint(layout.paths())
+        if not layout.turns:
+            parts = [F.when(at(path, "string").isNotNull(), _turn(F.lit(role), at(path, "string"))) for role, path in layout.parts]
+            return own, F.filter(F.array(*parts), lambda x: x.isNotNull())
+        items = at(layout.turns, "array<map<string,string>>")
+        named = F.forall(items, lambda x: F.map_contains_key(x, layout.role) & F.map_contains_key(x, layout.content))
+        return own & F.coalesce(named, F.lit(False)), F.transform(items, lambda x: _turn(x[layout.role], x[layout.content]))
+
+    out = F.lit(None).cast("array<struct<role:string,text:string>>")
+    chosen = [mapping(x) for x in sorted((x for x in layouts if not x.key), key=lambda x: -len(x.paths()))]
     for own, turns in reversed(chosen):
         out = F.when(own, turns).otherwise(out)
     conv_id = F.coalesce(F.try_variant_get(row, "$.conv_id", "bigint"), F.try_variant_get(row, "$.id", "bigint"))
