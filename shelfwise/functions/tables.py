@@ -12,16 +12,6 @@ def rule_table(spark: SparkSession, columns: dict[str, list]) -> DataFrame:
     return spark.createDataFrame(pa.table(columns))
 
 
-def spread(df: DataFrame, *keys: str) -> DataFrame:
-    """Scan spread over the cores by its row key when it arrives in fewer splits than there are cores.
-
-    For work that costs far more than moving the rows once. A scan of a large table has many splits
-    and is left alone.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df if df.rdd.getNumPartitions() >= cores else df.repartition(cores, *keys)
-
-
 def first_by(df: DataFrame, keys: list[str], order: list[str | Column], keep: list[str]) -> DataFrame:
     """For each key the row that sorts first.
 

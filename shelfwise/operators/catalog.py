@@ -2,18 +2,19 @@
 
 from __future__ import annotations
 
+import json
 import unicodedata
+from functools import lru_cache
 
-import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from shelfwise.functions.tables import dense_ids, first_by, rule_table
 from shelfwise.functions.text import extract_or_null, is_numeric_text, strip
 from shelfwise.rules import (
     BRANDS, FILE_CATEGORIES, MODEL_CASCADE, QUERY_CATEGORY_TERMS, QUERY_MODEL_CASCADE, SIZE_WORD,
 )
+from shelfwise.schemas import IMAGES, LINK
 
 # --- prices -------------------------------------------------------------------------------------
 
@@ -100,30 +101,53 @@ def build_queries(products: DataFrame, category_terms: dict[str, str] = QUERY_CA
     )
 
 
-@F.pandas_udf(T.StringType())
-def fold_to_ascii(names: pd.Series) -> pd.Series:
-    """Compatibility decomposition without what is not ASCII; Spark has no built-in for it."""
-    return names.map(
-        lambda s: None if s is None else unicodedata.normalize("NFKD", s).encode("ascii", "ignore").decode("ascii")
-    )
+@lru_cache(maxsize=1)
+def _ascii_forms() -> tuple[str, str, dict[str, str]]:
+    """What is left of each non-ASCII character after compatibility decomposition: characters that become one other
+    (as two texts for `translate`), and those that become several."""
+    single, several = {}, {}
+    for code in range(0x80, 0x110000):
+        form = unicodedata.normalize("NFKD", chr(code)).encode("ascii", "ignore").decode("ascii")
+        if len(form) == 1:
+            single[chr(code)] = form
+        elif form:
+            several[chr(code)] = form
+    return "".join(single), "".join(single.values()), several
+
+
+def fold_to_ascii(text: Column) -> Column:
+    """Text without accents and other non-ASCII characters, as compatibility decomposition gives it."""
+    before, after, several = _ascii_forms()
+    pairs = F.from_json(F.lit(json.dumps([{"c": c, "f": f} for c, f in several.items()])), "array<struct<c:string,f:string>>")
+
+    def longer(folded: Column) -> Column:
+        """Characters that become several, looked for among what is not ASCII yet."""
+        left = F.regexp_replace(folded, r"[\x00-\x7F]+", "")
+        held = F.transform(F.array(left), lambda rest: F.filter(pairs, lambda p: F.contains(rest, p["c"])))[0]
+        return F.when(left != "", F.aggregate(held, folded, lambda done, p: F.replace(done, p["c"], p["f"]))).otherwise(folded)
+
+    # The one-element array computes the translated text once.
+    return F.regexp_replace(F.transform(F.array(F.translate(text, before, after)), longer)[0], r"[^\x00-\x7F]", "")
 
 
 def slug_of(ascii_name: Column) -> Column:
     joined = F.regexp_replace(ascii_name, r"[\s_]+", "-")
     joined = F.regexp_replace(joined, r"[^a-zA-Z0-9\-]", "")
     joined = F.lower(F.btrim(F.regexp_replace(joined, "-+", "-"), F.lit("-")))
-    joined = F.when(joined == "", "product").otherwise(joined)
-    return F.when(F.length(joined) > 100, F.rtrim(F.substring(joined, 1, 100), F.lit("-"))).otherwise(joined)
+
+    def cut(name: Column) -> Column:
+        return F.when(name == "", "product").when(F.length(name) > 100, F.rtrim(F.substring(name, 1, 100), F.lit("-"))).otherwise(name)
+
+    return F.transform(F.array(joined), cut)[0]
 
 
 def display_name(slug: Column) -> Column:
     return F.initcap(F.replace(slug, F.lit("-"), F.lit(" ")))
 
 
-def build_slugs(products: DataFrame, fold: bool = True) -> DataFrame:
-    """Adds `slug` and `display_name`. `fold=False` skips the Python step where names are ASCII."""
-    name = fold_to_ascii("name") if fold else F.col("name")
-    return products.withColumn("slug", slug_of(name)).withColumn("display_name", display_name(F.col("slug")))
+def build_slugs(products: DataFrame) -> DataFrame:
+    """Adds `slug` and `display_name`."""
+    return products.withColumn("slug", slug_of(fold_to_ascii(F.col("name")))).withColumn("display_name", display_name(F.col("slug")))
 
 
 def slug_collisions(slugged: DataFrame) -> DataFrame:
@@ -163,33 +187,61 @@ def pending_categories(categories: DataFrame, landed: DataFrame) -> DataFrame:
 
 
 def project_catalog(products: DataFrame, brands: list[str] = BRANDS) -> DataFrame:
-    """Catalog products to table rows; the rating score leaves the review struct."""
+    """Catalog products to table rows; the rating score leaves the review struct.
+
+    Whatever is there of summary, pros and cons stays. Columns a catalog does not have are null.
+    """
     named = split_brand_model(products, brands)
-    reviews = F.when(
-        F.col("reviews.summary").isNotNull(), F.struct("reviews.summary", "reviews.pros", "reviews.cons")
-    )
+    given = F.col("reviews.summary").isNotNull() | F.col("reviews.pros").isNotNull() | F.col("reviews.cons").isNotNull()
+    reviews = F.when(given, F.struct("reviews.summary", "reviews.pros", "reviews.cons"))
+
+    def optional(column: str, kind: str) -> Column:
+        return F.col(column) if column in products.columns else F.lit(None).cast(kind).alias(column)
+
+    attributes = "map<string,string>"
     return named.select(
         "product_id", "category_id", "name", "brand", "model",
         price_value(F.col("price_text"), "load").alias("price"),
+        optional("sourceUrl", "string").alias("source_url"),
+        optional("specs", attributes), optional("features", attributes),
         F.col("reviews.ratingScore").alias("rating_score"),
         reviews.alias("reviews"),
+        optional("images", IMAGES.simpleString()),
+        optional("retailerLinks", f"array<{LINK.simpleString()}>").alias("retailer_links"),
     )
 
 
-def load_products(existing: DataFrame, incoming: DataFrame, key: list[str]) -> DataFrame:
-    """Rows to append: loading the same catalog again adds nothing."""
+def load_products(existing: DataFrame, incoming: DataFrame, key: list[str], mode: str = "append") -> DataFrame:
+    """Rows to append: all of them, or with `mode="new"` one per key that is not loaded yet.
+
+    What `mode="new"` leaves out is what `left_out` returns.
+    """
+    if mode == "append":
+        return incoming
+    if mode != "new":
+        raise ValueError(f"unknown mode {mode!r}")
     fresh = first_by(incoming, key, ["product_id"], [c for c in incoming.columns if c not in key])
     return fresh.join(existing.select(*key), key, "left_anti").select(*incoming.columns)
 
 
-def load_counts(existing: DataFrame, incoming: DataFrame, key: list[str]) -> DataFrame:
-    """total, inserted and failed (no price) counts of a load."""
-    known = existing.select(*key, F.lit(True).alias("_known"))
-    return incoming.join(known.distinct(), key, "left").agg(
-        F.count("*").alias("total"),
-        F.count_if(F.col("_known").isNull() & F.col("price").isNotNull()).alias("inserted"),
-        F.count_if(F.col("price").isNull()).alias("failed"),
-    )
+def left_out(existing: DataFrame, incoming: DataFrame, key: list[str]) -> DataFrame:
+    """Incoming rows that `load_products(mode="new")` does not append, with the reason."""
+    chosen = load_products(existing, incoming, key, "new").select("product_id")
+    known = existing.select(*key).distinct().withColumn("_known", F.lit(True))
+    rest = incoming.join(chosen, "product_id", "left_anti").join(known, key, "left")
+    reason = F.when(F.col("_known"), "loaded before").otherwise("repeated in this load")
+    return rest.select(*incoming.columns, reason.alias("reason"))
+
+
+def load_counts(existing: DataFrame, incoming: DataFrame, key: list[str], mode: str = "append") -> DataFrame:
+    """total, inserted, left_out and without_price counts of a load; inserted and left_out add up to the total.
+
+    A product without a readable price is loaded with a null price.
+    """
+    inserted = load_products(existing, incoming, key, mode)
+    counts = incoming.agg(F.count("*").alias("total"), F.count_if(F.col("price").isNull()).alias("without_price"))
+    loaded = inserted.agg(F.count("*").alias("inserted"))
+    return counts.select("total", loaded.scalar().alias("inserted"), (F.col("total") - loaded.scalar()).alias("left_out"), "without_price")
 
 
 def refresh_links(catalog: DataFrame, incoming: DataFrame) -> DataFrame:

@@ -5,9 +5,10 @@ from __future__ import annotations
 import re
 from dataclasses import dataclass, field
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from shelfwise.functions.ranks import join_on, percentiles, ranked_values
 from shelfwise.rules import CAPACITY_TIERS, INTENT_WORDS, PRICE_INTENTS, SCORE_TIERS, SIZE_INTENTS
 
 # --- index --------------------------------------------------------------------------------------
@@ -27,10 +28,29 @@ def search_text(products: DataFrame) -> Column:
 
 
 def build_index(products: DataFrame, text: Column | None = None) -> DataFrame:
-    """Term table (category_id, product_id, term, tf)."""
+    """Term table (category_id, product_id, term, tf). A product is one row: its terms are counted inside it."""
     text = search_text(products) if text is None else text
-    terms = products.select("category_id", "product_id", F.explode(terms_of(text)).alias("term"))
-    return terms.groupBy("category_id", "product_id", "term").agg(F.count("*").alias("tf"))
+    sorted_terms = products.select("category_id", "product_id", F.array_sort(terms_of(text)).alias("_terms")).where(F.size("_terms") > 0)
+    terms, n = F.col("_terms"), F.size("_terms")
+    starts = F.filter(F.sequence(F.lit(0), n - 1), lambda i: (i == 0) | (F.get(terms, i) != F.get(terms, i - 1)))
+    runs = sorted_terms.withColumn("_starts", starts)
+    ends = F.concat(F.slice("_starts", F.lit(2), F.size("_starts")), F.array(n))
+    counted = F.zip_with("_starts", ends, lambda i, j: F.struct(F.get(terms, i).alias("term"), (j - i).cast("bigint").alias("tf")))
+    return runs.select("category_id", "product_id", F.inline(counted))
+
+
+def write_index(index: DataFrame, path: str) -> None:
+    """Store the term table by category, sorted by term, so that a search reads few row groups of one category.
+
+    Ranges of category and term, so that a category that holds most products is written by many tasks.
+    """
+    placed = index.repartitionByRange("category_id", "term").sortWithinPartitions("category_id", "term")
+    placed.write.mode("overwrite").partitionBy("category_id").parquet(path)
+
+
+def read_index(spark: SparkSession, path: str) -> DataFrame:
+    """A stored term table. Conditions on category and term reach the files."""
+    return spark.read.schema("product_id bigint, term string, tf bigint, category_id bigint").parquet(path)
 
 
 @dataclass
@@ -38,22 +58,25 @@ class Clause:
     required: list[str] = field(default_factory=list)
     excluded: list[str] = field(default_factory=list)
     phrases: list[list[str]] = field(default_factory=list)
+    excluded_phrases: list[list[str]] = field(default_factory=list)
 
 
 def query_clauses(query: str) -> list[Clause]:
-    """Words that must all occur, `-word`, `"a phrase"`; `or` separates alternatives."""
+    """Words that must all occur, `-word`, `"a phrase"`, `-"a phrase"`; `or` separates alternatives."""
     clauses = [Clause()]
     for minus, phrase, word in re.findall(r'(-?)(?:"([^"]*)"|(\S+))', query.lower()):
         words = re.findall(r"[^\W_]+", phrase or word)
         if word == "or" and not minus:
             clauses.append(Clause())
+        elif minus and len(words) > 1:
+            clauses[-1].excluded_phrases.append(words)
         elif minus:
             clauses[-1].excluded += words
         else:
             clauses[-1].required += words
             if phrase and len(words) > 1:
                 clauses[-1].phrases.append(words)
-    return [c for c in clauses if c.required or c.excluded]
+    return [c for c in clauses if c.required or c.excluded or c.excluded_phrases]
 
 
 def _phrase(words: list[str]) -> str:
@@ -70,7 +93,7 @@ def match_text(products: DataFrame, index: DataFrame, query: str, text: Column |
     clauses = query_clauses(query)
     wanted = sorted({t for c in clauses for t in c.required})
     known = sorted({t for c in clauses for t in c.required + c.excluded})
-    has_phrases = any(c.phrases for c in clauses)
+    has_phrases = any(c.phrases or c.excluded_phrases for c in clauses)
     text = text if text is not None else (search_text(products) if has_phrases else None)
     saturation = F.when(F.col("term").isin(wanted), F.col("tf") / (F.col("tf") + 1.0))
     hits = (
@@ -87,6 +110,8 @@ def match_text(products: DataFrame, index: DataFrame, query: str, text: Column |
             holds = holds & ~F.array_contains("_terms", t)
         for words in c.phrases:
             holds = holds & text.rlike(_phrase(words))
+        for words in c.excluded_phrases:
+            holds = holds & ~text.rlike(_phrase(words))
         accepted = accepted | holds
     needs_all = any(not c.required for c in clauses)
     joined = products.join(hits, "product_id", "left" if needs_all else "inner")
@@ -241,24 +266,18 @@ def score_products(products: DataFrame, requirements: list[str], price_min=None,
 def product_rankings(products: DataFrame, tiers=CAPACITY_TIERS) -> DataFrame:
     """Price percentile and tier inside the category, number of `Yes` features, capacity tier.
 
-    The percentile comes from running counts over the category's distinct prices, which pence
-    bound, not from sorting all products of a category in one task.
+    Products without a price rank after all others and count, as in a ranking of all rows with nulls last. The
+    percentile comes from ranks of distinct prices, not from sorting a category's products in one task.
     """
-    prices = products.where("price is not null").groupBy("category_id", "price").agg(F.count("*").alias("_n"))
-    category = Window.partitionBy("category_id")
-    before = category.orderBy("price").rowsBetween(Window.unboundedPreceding, -1)
-    total = F.sum("_n").over(category)
-    below = F.coalesce(F.sum("_n").over(before), F.lit(0))
-    placed = prices.select(
-        "category_id", "price",
-        F.when(total > 1, below / (total - 1)).otherwise(0.0).alias("price_percentile"),
-    )
+    ranked = ranked_values(products, ["category_id"], "price")
+    share = F.when(F.col("total") > 1, F.col("below") / (F.col("total") - 1)).otherwise(0.0)
+    placed = ranked.select("category_id", "price", share.alias("price_percentile"))
     capacity = F.lit(None).cast("string")
     for category_id, (key, small, medium) in tiers.items():
         amount = _value("specs", key).try_cast("double")
         tier = F.when(amount < small, "small").when(amount < medium, "medium").otherwise("large")
         capacity = F.when(F.col("category_id") == category_id, tier).otherwise(capacity)
-    return products.join(placed, ["category_id", "price"], "left").withColumns({
+    return join_on(products, placed, ["category_id", "price"], "left").withColumns({
         "feature_count": F.size(F.map_filter("features", lambda k, v: v == "Yes")),
         "price_tier": F.when(F.col("price_percentile") < 0.33, "budget").when(F.col("price_percentile") < 0.66, "mid-range").otherwise("premium"),
         "capacity_tier": capacity,
@@ -266,21 +285,17 @@ def product_rankings(products: DataFrame, tiers=CAPACITY_TIERS) -> DataFrame:
 
 
 def category_stats(products: DataFrame) -> DataFrame:
-    """Count, mean price, price quartiles, mean rating and number of brands per category.
-
-    Rows are counted per price first; the quartiles then weigh distinct prices.
-    """
-    per_price = products.groupBy("category_id", "price").agg(F.count("*").alias("_n"))
-    quartiles = per_price.groupBy("category_id").agg(
-        F.percentile("price", F.array(F.lit(0.25), F.lit(0.5), F.lit(0.75)), F.col("_n")).alias("_q")
-    )
-    basics = products.groupBy("category_id").agg(
+    """Count, mean price, price quartiles, mean rating and number of brands per category; a category without any
+    brand or price stays, with 0 brands and null quartiles."""
+    keys = ["category_id"]
+    quartiles = percentiles(products, keys, "price", {"price_q1": 0.25, "price_median": 0.5, "price_q3": 0.75})
+    basics = products.groupBy(*keys).agg(
         F.count("*").alias("product_count"), F.round(F.avg("price"), 2).alias("avg_price"), F.avg("score").alias("avg_score")
     )
-    brands = category_brands(products).groupBy("category_id").agg(F.count("*").alias("n_brands"))
-    return basics.join(quartiles, "category_id").join(brands, "category_id").select(
-        "category_id", "product_count", "avg_price", F.col("_q")[0].alias("price_q1"), F.col("_q")[1].alias("price_median"),
-        F.col("_q")[2].alias("price_q3"), "avg_score", "n_brands",
+    brands = category_brands(products).groupBy(*keys).agg(F.count("*").alias("n_brands"))
+    every = join_on(join_on(basics, quartiles, keys, "left"), brands, keys, "left")
+    return every.select(
+        "category_id", "product_count", "avg_price", "price_q1", "price_median", "price_q3", "avg_score", F.coalesce("n_brands", F.lit(0)).alias("n_brands")
     )
 
 
@@ -353,21 +368,17 @@ def parse_queries(queries: DataFrame, brands: list[str]) -> DataFrame:
 def metrics_rollup(metrics: DataFrame, now: Column, hours: int = 24) -> DataFrame:
     """Searches per hour and category of the last day: count, mean, p50, p95 and cache-hit share.
 
-    Latencies are counted per value first, so the percentiles weigh distinct latencies only.
+    Latencies are counted by value and ranked in parts of their range, so an hour and category that hold most searches
+    are the work of many tasks.
     """
     recent = metrics.where(F.col("created_at") > now - F.make_dt_interval(F.lit(0), F.lit(hours)))
     recent = recent.withColumn("hour", F.date_trunc("hour", "created_at"))
-    per_value = recent.groupBy("hour", "category_id", "execution_time_ms").agg(
-        F.count("*").alias("_n"), F.count_if("cache_hit").alias("_hits")
-    )
-    ms = F.col("execution_time_ms")
-    return per_value.groupBy("hour", "category_id").agg(
-        F.sum("_n").alias("search_count"),
-        F.round(F.sum(ms * F.col("_n")) / F.sum("_n"), 6).alias("avg_latency"),
-        F.percentile(ms, F.lit(0.5), F.col("_n")).alias("p50_latency"),
-        F.percentile(ms, F.lit(0.95), F.col("_n")).alias("p95_latency"),
-        (F.sum("_hits") / F.sum("_n")).alias("cache_hit_rate"),
+    keys, ms = ["hour", "category_id"], F.col("execution_time_ms")
+    basics = recent.groupBy(*keys).agg(
+        F.count("*").alias("search_count"), F.round(F.avg(ms), 6).alias("avg_latency"), (F.count_if("cache_hit") / F.count("*")).alias("cache_hit_rate")
     )
+    latency = percentiles(recent, keys, "execution_time_ms", {"p50_latency": 0.5, "p95_latency": 0.95})
+    return join_on(basics, latency, keys, "left").select(*keys, "search_count", "avg_latency", "p50_latency", "p95_latency", "cache_hit_rate")
 
 
 def popular_searches(metrics: DataFrame, k: int = 21) -> DataFrame:

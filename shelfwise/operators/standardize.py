@@ -13,7 +13,6 @@ from shelfwise.functions.text import (
 from shelfwise.operators.attributes import keep_last_value
 from shelfwise.rules import BOOLEAN_WORDS, RESIDUAL_UNITS, UNIT_PATTERNS
 from shelfwise.schemas import APPENDED, EAV_COLUMNS
-from shelfwise.session import small_side
 
 # Every unit pattern needs one of these, so most plain values skip the whole cascade.
 _MAY_HOLD_UNIT = r"\d\.?\s*[A-Za-z°%]|£"
@@ -181,7 +180,7 @@ def filter_coverage(eav: DataFrame, n_products: Column, percent: float = 10.0) -
     """Keep keys that enough products have; 0 percent keeps all."""
     if percent <= 0:
         return eav
-    return keep_keys(eav, small_side(key_coverage(eav, n_products, percent).where("kept").select("kind", "key")))
+    return keep_keys(eav, key_coverage(eav, n_products, percent).where("kept").select("kind", "key"))
 
 
 def keep_keys(eav: DataFrame, kept: DataFrame) -> DataFrame:
@@ -223,7 +222,7 @@ def assign_kinds(eav: DataFrame, moves: DataFrame | None = None) -> DataFrame:
     replaces the moves found in `eav` itself; keys it does not know stay where they are.
     """
     no = F.lit(False)
-    rows = eav.join(small_side(kind_moves(eav)) if moves is None else moves, "key", "left").withColumns(
+    rows = eav.join(kind_moves(eav) if moves is None else moves, "key", "left").withColumns(
         {name: F.coalesce(name, no) for name in ("to_features", "to_specs", "in_both")}
     )
     from_specs = F.col("kind") == "specs"
@@ -253,11 +252,27 @@ def assign_kinds(eav: DataFrame, moves: DataFrame | None = None) -> DataFrame:
 
 def kind_stats(eav: DataFrame) -> DataFrame:
     """Fields that move each way, and values lost because a moved field overwrote another."""
-    moves = kind_moves(eav).agg(
-        F.count_if("to_features").alias("boolean_fields_in_specs"), F.count_if("to_specs").alias("non_boolean_fields_in_features")
+    # One read: per product and key what is in both kinds, then per key which way it goes.
+    boolean = F.lower(strip(F.col("value"))).isin(BOOLEAN_WORDS)
+
+    def only_boolean(kind: str) -> Column:
+        return F.bool_and(F.when((F.col("kind") == kind) & ~is_blank(F.col("value")), boolean))
+
+    per_product = eav.groupBy("product_id", "key").agg(
+        F.bool_or(F.col("kind") == "specs").alias("in_specs"), F.bool_or(F.col("kind") == "features").alias("in_features"),
+        only_boolean("specs").alias("specs"), only_boolean("features").alias("features"),
+    )
+    per_key = per_product.groupBy("key").agg(
+        (F.bool_or("in_specs") & F.coalesce(F.bool_and("specs"), F.lit(False))).alias("to_features"),
+        (F.bool_or("in_features") & ~F.coalesce(F.bool_and("features"), F.lit(False))).alias("to_specs"),
+        F.count_if(F.col("in_specs") & F.col("in_features")).alias("meeting"),
+    )
+    # A key that moves either way ends up in one kind: every product that had it in both loses one value.
+    lost = F.sum(F.when(F.col("to_features") | F.col("to_specs"), F.col("meeting")).otherwise(0))
+    return per_key.agg(
+        F.count_if("to_features").alias("boolean_fields_in_specs"), F.count_if("to_specs").alias("non_boolean_fields_in_features"),
+        F.coalesce(lost, F.lit(0)).alias("values_lost"),
     )
-    counts = eav.agg(F.count("*").alias("n")).unionByName(assign_kinds(eav).agg((-F.count("*")).alias("n")))
-    return moves.withColumn("values_lost", counts.agg(F.sum("n")).scalar())
 
 
 def residual_units(value: Column, units: list[str] = RESIDUAL_UNITS) -> Column:

@@ -59,7 +59,10 @@ def slug_table(v):
 select product_id, category_id, name, {sql_brand()},
        try_cast(replace(replace(replace(price_text, '£', ''), '$', ''), ',', '') as double) as price,
        case when product_id % 4 <> 0 then score end as rating_score,
-       case when product_id % 4 <> 0 and product_id % 3 <> 0 then 'Good ' || name end as summary
+       case when product_id % 4 <> 0 and product_id % 3 <> 0 then 'Good ' || name end as summary,
+       case when product_id % 4 <> 0 then brand end as pro, 'https://x.example.com/' || cast(product_id as varchar) as source_url,
+       case when product_id % 2 = 0 then '1cm' end as depth, 'front' || cast(product_id as varchar) as front,
+       'https://l.example.com/' || cast(product_id as varchar) as link
 from (select * replace (case when product_id % 11 = 0 then 'n/a' else '£' || cast(product_id as varchar) || ',' || cast(100 + product_id % 900 as varchar) || '.50' end as price_text)
       from fx_product) p""")
 def _(v):
@@ -70,8 +73,17 @@ def _(v):
         F.when(F.expr("product_id % 3 <> 0"), F.concat(F.lit("Good "), "name")).alias("summary"),
         F.array("brand").alias("pros"), F.array("brand").alias("cons"), F.col("score").alias("ratingScore"),
     ))
-    raw = v.fx_product.withColumn("price_text", text).withColumn("reviews", reviews).drop("brand", "price", "score")
-    return ct.project_catalog(raw, BRAND_LIST).withColumn("summary", F.col("reviews.summary")).drop("reviews")
+    number = F.col("product_id").cast("string")
+    raw = v.fx_product.withColumns({
+        "price_text": text, "reviews": reviews, "sourceUrl": F.concat(F.lit("https://x.example.com/"), number),
+        "specs": F.when(F.expr("product_id % 2 = 0"), F.create_map(F.lit("depth"), F.lit("1cm"))),
+        "images": F.struct(F.concat(F.lit("front"), number).alias("front"), F.lit(None).cast("string").alias("side")),
+        "retailerLinks": F.array(F.struct(F.lit("Shop").alias("name"), F.concat(F.lit("https://l.example.com/"), number).alias("url"))),
+    }).drop("brand", "price", "score")
+    return ct.project_catalog(raw, BRAND_LIST).withColumns({
+        "summary": F.col("reviews.summary"), "pro": F.col("reviews.pros")[0], "depth": F.col("specs")["depth"],
+        "front": F.col("images.front"), "link": F.col("retailer_links")[0]["url"],
+    }).drop("reviews", "specs", "features", "images", "retailer_links")
 
 
 PRICE_TEXTS = """case product_id % 7 when 0 then '£' || cast(product_id as string) || ',999.50' when 1 then 'n/a' when 2 then '$12.5'
@@ -211,7 +223,7 @@ def _(v):
 @REGISTRY.add("B11_slug_collisions", f"""
 with {_SLUG_SQL} select slug, count(*) as products, min(product_id) as first_product from slugged group by slug having count(*) > 1""")
 def _(v):
-    return ct.slug_collisions(ct.build_slugs(v.fx_product.select("product_id", F.expr(_SLUG_NAME).alias("name")), fold=False))
+    return ct.slug_collisions(ct.build_slugs(v.fx_product.select("product_id", F.expr(_SLUG_NAME).alias("name"))))
 
 
 @REGISTRY.add("B11_document_slugs", r"""
@@ -226,22 +238,51 @@ def _(v):
 _EXISTING = "category_id <= 3"
 
 
-@REGISTRY.add("A09_load_products", f"""
+@REGISTRY.add("A09_load_products", """
+select product_id, category_id, name, brand, price from fx_product""")
+def _(v):
+    rows = v.fx_product.select("product_id", "category_id", "name", "brand", "price")
+    return ct.load_products(rows.where(_EXISTING), rows, ["category_id", "name"])
+
+
+@REGISTRY.add("A09_load_new_products", f"""
 select * from (select product_id, category_id, name, brand, price from fx_product) p
 where not exists (select 1 from fx_product e where e.category_id <= 3 and e.name = p.name and e.category_id = p.category_id)""")
 def _(v):
     rows = v.fx_product.select("product_id", "category_id", "name", "brand", "price")
-    return ct.load_products(rows.where(_EXISTING), rows, ["category_id", "name"])
+    return ct.load_products(rows.where(_EXISTING), rows, ["category_id", "name"], "new")
+
+
+_REPEATED_NAME = "case when product_id % 5 = 0 then brand else name end"
+
+
+@REGISTRY.add("A09_left_out", f"""
+with p as (select product_id, category_id, {_REPEATED_NAME} as name from fx_product),
+k as (select distinct category_id, name from p where category_id <= 3),
+n as (select min(product_id) as product_id from p anti join k using (category_id, name) group by category_id, name)
+select p.*, case when exists (select 1 from k where k.category_id = p.category_id and k.name = p.name) then 'loaded before' else 'repeated in this load' end as reason
+from p where product_id not in (select product_id from n)""")
+def _(v):
+    rows = v.fx_product.select("product_id", "category_id", F.expr(_REPEATED_NAME).alias("name"))
+    return ct.left_out(rows.where(_EXISTING), rows, ["category_id", "name"])
 
 
 @REGISTRY.add("A09_load_counts", """
-select count(*) as total, count(*) filter (where category_id > 3 and price_text <> 'n/a') as inserted,
-       count(*) filter (where price_text = 'n/a') as failed from fx_product""")
+select count(*) as total, count(*) as inserted, cast(0 as bigint) as left_out,
+       count(*) filter (where price_text = 'n/a') as without_price from fx_product""")
 def _(v):
     rows = v.fx_product.withColumn("price", F.when(F.col("price_text") != "n/a", F.col("price")))
     return ct.load_counts(rows.where(_EXISTING), rows, ["category_id", "name"])
 
 
+@REGISTRY.add("A09_new_load_counts", """
+select count(*) as total, count(*) filter (where category_id > 3) as inserted, count(*) filter (where category_id <= 3) as left_out,
+       count(*) filter (where price_text = 'n/a') as without_price from fx_product""")
+def _(v):
+    rows = v.fx_product.withColumn("price", F.when(F.col("price_text") != "n/a", F.col("price")))
+    return ct.load_counts(rows.where(_EXISTING), rows, ["category_id", "name"], "new")
+
+
 _MODEL = "cast(product_id % 60 as string)"
 
 

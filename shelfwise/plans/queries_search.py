@@ -9,6 +9,7 @@ from shelfwise.plans.queries_attributes import quoted
 from shelfwise.plans.registry import REGISTRY
 from shelfwise.plans.views import SPEC_ROWS
 from shelfwise.rules import INTENT_WORDS, PRICE_INTENTS, SIZE_INTENTS
+from shelfwise.session import new_shared_path
 
 
 def catalog(v):
@@ -39,6 +40,18 @@ def _(v):
     return sc.build_index(catalog(v))
 
 
+_stored: dict[tuple[str, str], str] = {}
+
+
+def stored_index(v):
+    """The term table of this catalog, stored once a session and read from there."""
+    key = (v.spark.sparkContext.applicationId, v.sf_dir)
+    if key not in _stored:
+        _stored[key] = new_shared_path(v.spark, "index")
+        sc.write_index(sc.build_index(catalog(v)), _stored[key])
+    return sc.read_index(v.spark, _stored[key])
+
+
 OUT = ["product_id", "category_id", "name", "brand", "price", "score", "relevance_score"]
 
 
@@ -57,7 +70,7 @@ order by round(ts * 40 + 30 + 20 + coalesce(score / 10, 0), 12) desc, score desc
 def _(v):
     products = catalog(v)
     brands = ["Brand#1", "Brand#12", "Brand#13", "Brand#14", "Brand#17", "Brand#2", "Brand#20", "Brand#5"]
-    return rounded(sc.smart_search(products, sc.build_index(products), 2, "widget yes", 905.0, 1500.0, brands))
+    return rounded(sc.smart_search(products, stored_index(v), 2, "widget yes", 905.0, 1500.0, brands))
 
 
 @REGISTRY.add("K02_soft_price_search", """
@@ -68,7 +81,7 @@ order by round(case when price between 920 and 950 then 30 when price < 920 then
         + coalesce(score / 10, 0), 9) desc, score desc nulls last, product_id limit 200""")
 def _(v):
     products = catalog(v)
-    return rounded(sc.smart_search(products, sc.build_index(products), 3, None, 920.0, 950.0, soft_price=True))
+    return rounded(sc.smart_search(products, stored_index(v), 3, None, 920.0, 950.0, soft_price=True))
 
 
 @REGISTRY.add("K03_query_forms", f"""
@@ -80,38 +93,56 @@ where (list_contains(terms, 'widget') and list_contains(terms, 'black') and not
        and list_contains(terms, 'silver'))""")
 def _(v):
     products = catalog(v)
-    return sc.match_text(products, sc.build_index(products), 'widget black -red or "smart yes" silver').select("product_id")
+    return sc.match_text(products, stored_index(v), 'widget black -red or "smart yes" silver').select("product_id")
 
 
 @REGISTRY.add("K03_exclusion_only", f"""
 with {SQL_TEXT} select product_id from fx_product where product_id not in (select product_id from idx where term = 'silver')""")
 def _(v):
     products = catalog(v)
-    return sc.match_text(products, sc.build_index(products), "-silver").select("product_id")
+    return sc.match_text(products, stored_index(v), "-silver").select("product_id")
+
+
+@REGISTRY.add("K03_excluded_phrase", f"""
+with {SQL_TEXT}
+select w.product_id from words w join idx i on i.product_id = w.product_id and i.term = 'black'
+where not regexp_matches(w.text, '(?i)(^|[^a-z0-9])smart[^a-z0-9]+yes($|[^a-z0-9])')""")
+def _(v):
+    return sc.match_text(catalog(v), stored_index(v), 'black -"smart yes"').select("product_id")
+
+
+# Every 29th product has no price, and category 5 no brand.
+SOME_MISSING = "case when product_id % 29 = 0 then null else price end as price, case when category_id = 5 then null else brand end as brand"
+
+
+def some_missing(products):
+    price, brand = SOME_MISSING.split(", ")
+    return products.withColumns({"price": F.expr(price.removesuffix(" as price")), "brand": F.expr(brand.removesuffix(" as brand"))})
 
 
 _TIERS = {1: ("capacity_value", 7, 25), 4: ("depth_cm", 20, 40)}
 
 
 @REGISTRY.add("K04_product_rankings", """
-select product_id, category_id, price, percent_rank() over (partition by category_id order by price) as price_percentile,
-  case when percent_rank() over (partition by category_id order by price) < 0.33 then 'budget'
-       when percent_rank() over (partition by category_id order by price) < 0.66 then 'mid-range' else 'premium' end as price_tier,
+select product_id, category_id, price, percent_rank() over (partition by category_id order by price nulls last) as price_percentile,
+  case when percent_rank() over (partition by category_id order by price nulls last) < 0.33 then 'budget'
+       when percent_rank() over (partition by category_id order by price nulls last) < 0.66 then 'mid-range' else 'premium' end as price_tier,
   cast((select count(*) from fx_spec s where s.product_id = p.product_id and kind = 'features' and value = 'Yes') as int) as feature_count,
   case category_id when 1 then (case when cap < 7 then 'small' when cap < 25 then 'medium' else 'large' end)
                    when 4 then (case when dep < 20 then 'small' when dep < 40 then 'medium' else 'large' end) end as capacity_tier
-from (select f.*, (select try_cast(max(value) as double) from fx_spec s where s.product_id = f.product_id and key = 'capacity_value') as cap,
+from (select f.* replace (case when product_id % 29 = 0 then null else price end as price), (select try_cast(max(value) as double) from fx_spec s where s.product_id = f.product_id and key = 'capacity_value') as cap,
         (select try_cast(max(value) as double) from fx_spec s where s.product_id = f.product_id and key = 'depth_cm') as dep from fx_product f) p""")
 def _(v):
-    ranked = sc.product_rankings(catalog(v), _TIERS)
+    ranked = sc.product_rankings(some_missing(catalog(v)), _TIERS)
     return ranked.select("product_id", "category_id", "price", "price_percentile", "price_tier", "feature_count", "capacity_tier")
 
 
 @REGISTRY.add("K05_category_stats", """
 select category_id, count(*) as product_count, round(avg(price), 2) as avg_price, quantile_cont(price, 0.25) as price_q1, quantile_cont(price, 0.5) as price_median,
-  quantile_cont(price, 0.75) as price_q3, avg(score) as avg_score, count(distinct brand) as n_brands from fx_product group by category_id""")
+  quantile_cont(price, 0.75) as price_q3, avg(score) as avg_score, count(distinct brand) as n_brands
+from (select * replace (""" + SOME_MISSING + """) from fx_product) p group by category_id""")
 def _(v):
-    return sc.category_stats(v.fx_product)
+    return sc.category_stats(some_missing(v.fx_product))
 
 
 @REGISTRY.add("K05_category_brands", "select distinct category_id, brand from fx_product")

@@ -357,10 +357,10 @@ def _(v):
 
 @REGISTRY.add("G07_review_corpus", """
 with r as (select *, row_number() over (partition by product_id order by review_id) as n from fx_review)
-select product_id, string_agg('Review ' || cast(n as varchar) || ' (' || cast(stars as varchar) || '/5 stars): ' || body, chr(10) order by n) filter (where n <= 25) as corpus,
-       count(*) filter (where n <= 25) as reviews_analyzed, avg(stars) as average_rating, count(*) as reviews_total from r group by product_id""")
+select product_id, string_agg('Review ' || cast(n as varchar) || ' (' || cast(stars as varchar) || '/5 stars): ' || body, chr(10) order by n) filter (where n <= 50) as corpus,
+       count(*) filter (where n <= 50) as reviews_analyzed, avg(stars) as average_rating, count(*) as reviews_total from r group by product_id""")
 def _(v):
-    return rv.review_corpus(v.fx_review, cap=25)
+    return rv.review_corpus(v.fx_review)
 
 
 _T7 = rf"""

@@ -11,7 +11,7 @@ from shelfwise.functions.tables import rule_table
 from shelfwise.operators import standardize as st
 from shelfwise.operators.attributes import delete_keys, remove_cross_kind
 from shelfwise.schemas import EAV_COLUMNS
-from shelfwise.session import cut_lineage, small_side
+from shelfwise.session import cut_lineage
 
 
 @dataclass
@@ -48,14 +48,14 @@ def product_rules(eav: DataFrame, rules: RuleSet) -> DataFrame:
 def standardize(eav: DataFrame, products: DataFrame, rules: RuleSet, value_map: DataFrame, percent: float = 10.0) -> DataFrame:
     """Units, keys, coverage, values and kinds.
 
-    The product-local result is written once to the shared folder. One pass over it counts every
-    key; coverage and kind moves then follow from that small table, and a second pass applies them.
+    Runs a job: the product-local result is written once to the shared folder, as columns. Coverage and kind moves
+    follow from counts of its keys, which the plan computes once and uses twice; a table of keys that is small when
+    it has been computed is broadcast by the adaptive join.
     """
     n_products = products.agg(F.count("*").alias("n")).scalar()
     local = cut_lineage(product_rules(eav, rules))
     valued = st.normalize_values(local, value_map).select(*EAV_COLUMNS)
-    stats = small_side(st.covered_keys(st.key_stats(valued), n_products, percent))
+    stats = st.covered_keys(st.key_stats(valued), n_products, percent)
     kept = stats.where("kept") if percent > 0 else stats
-    moves = small_side(st.moves_of(kept))
     covered = st.keep_keys(valued, kept.select("kind", "key"))
-    return st.assign_kinds(covered, moves)
+    return st.assign_kinds(covered, st.moves_of(kept))

@@ -2,11 +2,11 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 DEFAULTS = {
     "spark.sql.adaptive.enabled": "true",
@@ -37,11 +37,14 @@ def prepare(spark: SparkSession) -> None:
 def shared_dir(spark: SparkSession) -> str:
     """Folder every executor can reach, as named by ``spark.checkpoint.dir``.
 
-    Only when the session names none, as in local tests, is a temporary one made and set.
+    Where the session names none, a local session, which has no other machines, gets a temporary one; on a cluster
+    that would be a folder of one machine, so it is an error.
     """
     context = spark.sparkContext
     if context.getCheckpointDir() is None:
         shared = context.getConf().get("spark.checkpoint.dir")
+        if not shared and not re.match(r"local(\[|$)", context.master):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
         context.setCheckpointDir(shared or tempfile.mkdtemp(prefix="shelfwise-checkpoint-"))
     return context.getCheckpointDir()
 
@@ -51,17 +54,7 @@ def new_shared_path(spark: SparkSession, name: str) -> str:
 
 
 def cut_lineage(df: DataFrame) -> DataFrame:
-    """Reliable checkpoint in the shared folder: it survives lost executors."""
-    shared_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
-
-
-def small_side(df: DataFrame, max_rows: int = 500_000) -> DataFrame:
-    """Join side that is computed once, counted, and broadcast only if it is small.
-
-    For tables with one row per attribute key. Broadcasting one keeps the long table, which it is
-    joined to, from being shuffled on keys that a third of its rows may share. A larger table is
-    left to the adaptive join, which splits such keys.
-    """
-    table = cut_lineage(df)
-    return F.broadcast(table) if table.count() <= max_rows else table
+    """The table written as Parquet to the shared folder and read back: columns stay columns, and lost executors lose nothing."""
+    path = new_shared_path(df.sparkSession, "table")
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
