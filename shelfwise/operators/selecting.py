@@ -62,27 +62,21 @@ def accumulate_until(source_rows: DataFrame, targets: DataFrame) -> tuple[DataFr
 
     `source_rows` has product_id, rank, key, value; `targets` has product_id, target. Returns the
     accumulated keys (later used sources overwrite) and per used source the number of new keys.
-    The window runs over sources of a product, after keys were counted.
+    A product without a target, or with a null one, takes all its sources. The rows are placed by product once; windows
+    and aggregates all work on that placing.
     """
-    first_seen = source_rows.groupBy("product_id", "key").agg(F.min("rank").alias("rank"))
-    new_keys = first_seen.groupBy("product_id", "rank").agg(F.count("*").alias("new_keys"))
-    sources = source_rows.groupBy("product_id", "rank").agg(F.count("*").alias("_rows"))
-    before = Window.partitionBy("product_id").orderBy("rank").rowsBetween(Window.unboundedPreceding, -1)
-    used = (
-        sources.join(new_keys, ["product_id", "rank"], "left")
-        .withColumn("new_keys", F.coalesce("new_keys", F.lit(0)))
-        .withColumn("_before", F.coalesce(F.sum("new_keys").over(before), F.lit(0)))
-        .join(targets, "product_id")
-        .where(F.col("_before") < F.col("target"))
-        .select("product_id", "rank", "new_keys", (F.col("_before") + F.col("new_keys")).alias("total_keys"))
-    )
-    last = used.groupBy("product_id").agg(F.max("rank").alias("_last"))
-    merged = (
-        source_rows.join(last, "product_id")
-        .where(F.col("rank") <= F.col("_last"))
-        .groupBy("product_id", "key")
-        .agg(F.max_by("value", "rank").alias("value"), F.min("rank").alias("first_rank"))
+    by_key = Window.partitionBy("product_id", "key").orderBy("rank")
+    earlier = Window.partitionBy("product_id").orderBy("rank").rangeBetween(Window.unboundedPreceding, -1)
+    limits = targets.groupBy("product_id").agg(F.max("target").alias("_target"))
+    taken = (
+        source_rows.repartition("product_id")
+        .withColumn("_new", (F.row_number().over(by_key) == 1).cast("bigint"))
+        .withColumn("_before", F.coalesce(F.sum("_new").over(earlier), F.lit(0)))
+        .join(limits, "product_id", "left")
+        .where(F.col("_target").isNull() | (F.col("_before") < F.col("_target")))
     )
+    used = taken.groupBy("product_id", "rank").agg(F.sum("_new").alias("new_keys"), (F.max("_before") + F.sum("_new")).alias("total_keys"))
+    merged = taken.groupBy("product_id", "key").agg(F.max_by("value", "rank").alias("value"), F.min("rank").alias("first_rank"))
     return merged, used
 
 

@@ -267,3 +267,14 @@ def _(v):
 select doc_id, '{"a": 1, "b": {"c": 2}, "d": "' || regexp_replace(text, '[^A-Za-z0-9 .]', '_', 'g') || '"}' as object, cast(3 as int) as keys from documents""")
 def _(v):
     return rp.pick_largest_object(v.fx_multi).drop("reply")
+
+
+_MANY = "case when doc_id % 500 = 0 then 100000 else cast(doc_id % 40 as int) end"
+
+
+@REGISTRY.add("A12_many_inner_objects", f"""
+select doc_id, cast(length('{{"list": [' || repeat('{{"a": 1}}, ', {_MANY}) || '0]}}') as int) as size, cast(1 as int) as keys from documents""")
+def _(v):
+    reply = F.concat(F.lit('reply: {"list": ['), F.repeat(F.lit('{"a": 1}, '), F.expr(_MANY)), F.lit("0]} end"))
+    picked = rp.pick_largest_object(v.documents.select("doc_id", reply.alias("reply")))
+    return picked.select("doc_id", F.length("object").alias("size"), "keys")

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from shelfwise.rules import JSON_OBJECT
+
 _REQUIRED = ["summary", "pros", "cons", "themes", "insights"]
 _LISTS = ["pros", "cons", "themes"]
 
@@ -50,7 +52,7 @@ def ingest_responses(raw: DataFrame, column: str = "reply") -> DataFrame:
 
 def pick_largest_object(raw: DataFrame, column: str = "reply") -> DataFrame:
     """Adds the JSON object with most keys among those in the text (one nesting level), earliest on a tie."""
-    found = F.regexp_extract_all(column, F.lit(r"\{[^{}]*(?:\{[^{}]*\}[^{}]*)*\}"), F.lit(0))
+    found = F.regexp_extract_all(column, F.lit(JSON_OBJECT), F.lit(0))
     valid = F.filter(
         F.transform(found, lambda j, i: F.struct((-F.size(F.json_object_keys(j))).alias("n"), i.alias("i"), j.alias("object"), F.try_parse_json(j).isNotNull().alias("valid"))),
         lambda s: s["valid"] & (s["n"] < 0),
