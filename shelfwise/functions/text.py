@@ -10,10 +10,17 @@ from pyspark.sql import functions as F
 from shelfwise.rules import KEY_UNIT_SUFFIXES
 
 WHITESPACE = " \t\n\r\x0b\x0c"
+# Fixed value: the other characters that count as blanks in text patterns; web pages are full of U+00A0.
+OTHER_BLANKS = "\x1c\x1d\x1e\x1f\x85\u00a0\u1680" + "".join(map(chr, range(0x2000, 0x200B))) + "\u2028\u2029\u202f\u205f\u3000"
+
+
+def plain_blanks(c: Column) -> Column:
+    """Text with every blank outside ASCII as a space, so that patterns see one kind of blank."""
+    return F.translate(c, OTHER_BLANKS, " " * len(OTHER_BLANKS))
 
 
 def strip(c: Column) -> Column:
-    return F.btrim(c, F.lit(WHITESPACE))
+    return F.btrim(c, F.lit(WHITESPACE + OTHER_BLANKS))
 
 
 def is_blank(c: Column) -> Column:

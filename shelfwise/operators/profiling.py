@@ -7,7 +7,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from shelfwise.functions.text import is_blank, is_numeric_text, one_decimal
+from shelfwise.functions.text import is_blank, is_numeric_text, one_decimal, plain_blanks
 from shelfwise.rules import (
     BLACKLIST_KEYS, STANDARD_UNIT_SPELLINGS, UNIT_BEARING_VALUE, UNIT_SPELLINGS, VARIANT_SUFFIXES, YES_NO_VARIANTS,
 )
@@ -15,7 +15,7 @@ from shelfwise.session import cut_lineage
 
 
 def unit_bearing(eav: DataFrame) -> DataFrame:
-    return eav.where(F.col("value").rlike(UNIT_BEARING_VALUE))
+    return eav.where(plain_blanks(F.col("value")).rlike(UNIT_BEARING_VALUE))
 
 
 def profile_values(eav: DataFrame) -> DataFrame:
@@ -191,10 +191,11 @@ def similar_keys(keys: DataFrame, min_similarity: float = 0.85) -> DataFrame:
     """Key pairs with a Ratcliff-Obershelp ratio of at least `min_similarity`, first key first seen.
 
     Pairs are not enumerated. Each key offers only its rarest bigrams, enough of them that two keys
-    reaching the ratio must offer a common one, and the ratio is computed for pairs that meet.
+    reaching the ratio must offer a common one, and the ratio is computed for pairs that meet. Where a low
+    ratio does not guarantee a common bigram, keys offer their characters as well.
     """
-    if not 0.8 <= min_similarity <= 1:
-        raise ValueError("min_similarity must lie between 0.8 and 1: below that bigrams cannot bound the ratio")
+    if not 0 < min_similarity <= 1:
+        raise ValueError("min_similarity must lie above 0 and not above 1")
     length = F.col("_len")
     keys = keys.select(
         "key", "products", "first_place", F.length("key").alias("_len"), _without_suffix(F.col("key")).alias("_base")

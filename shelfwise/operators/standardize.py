@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from shelfwise.functions.text import (
-    bare_key, clean_number_text, comparable_key, is_blank, strip, whole_or_decimal_text,
+    bare_key, clean_number_text, comparable_key, is_blank, plain_blanks, strip, whole_or_decimal_text,
 )
 from shelfwise.operators.attributes import keep_last_value
 from shelfwise.rules import BOOLEAN_WORDS, RESIDUAL_UNITS, UNIT_PATTERNS
@@ -43,7 +43,7 @@ def _with_auto_units(eav: DataFrame, strict: bool) -> DataFrame:
     """Adds `_auto_key` and `_auto_value`."""
     suffix = F.col("_unit.suffix")
     return (
-        eav.withColumn("_unit", _detected(strip(F.col("value")), strict))
+        eav.withColumn("_unit", _detected(plain_blanks(strip(F.col("value"))), strict))
         .withColumn("_auto_value", F.coalesce("_unit.number", "value"))
         .withColumn("_auto_key", F.when(suffix.isNull() | F.col("key").endswith(suffix), F.col("key")).otherwise(F.concat("key", suffix)))
         .drop("_unit")
@@ -69,7 +69,7 @@ def _with_ruled_value(df: DataFrame, strict: bool) -> DataFrame:
         millimetres, cut = text.rlike(r"(?i)\d\s*mm"), F.regexp_replace(text, r"(?i)(\d)\s*mm\s*", "$1")
     else:
         millimetres, cut = text.rlike("(?i)mm"), F.regexp_replace(text, r"(?i)\s*mm\s*", "")
-    df = df.withColumn("_text", F.when(new_key.isNotNull(), strip(F.col("value")))).withColumns({
+    df = df.withColumn("_text", F.when(new_key.isNotNull(), plain_blanks(strip(F.col("value"))))).withColumns({
         "_cut": F.when(millimetres, clean_number_text(strip(cut))),
         "_at_end": F.get(F.filter("_units", lambda u: lowered.endswith(F.lower(u))), F.lit(0)),
         "_anywhere": F.get(F.filter("_units", lambda u: F.contains(lowered, F.lower(u))), F.lit(0)),
@@ -277,6 +277,7 @@ def kind_stats(eav: DataFrame) -> DataFrame:
 
 def residual_units(value: Column, units: list[str] = RESIDUAL_UNITS) -> Column:
     """Names of the units that still follow a number in the value."""
+    value = plain_blanks(value)
     found = [F.when(value.rlike(rf"(?i)\b(\d+\.?\d*)\s*{re.escape(u)}\b"), u) for u in units]
     return F.array_compact(F.array(*found))
 

@@ -8,8 +8,9 @@ from shelfwise.functions.tables import rule_table
 from shelfwise.operators import attributes as at
 from shelfwise.operators import standardize as st
 from shelfwise.plans.registry import REGISTRY
-from shelfwise.plans.standardizing import RuleSet, product_rules, standardize
+from shelfwise.plans.standardizing import RuleSet, product_rules, read_rules, standardize, write_rules
 from shelfwise.rules import BLACKLIST_KEYS, BOOLEAN_WORDS, KEY_UNIT_SUFFIXES, RESIDUAL_UNITS, UNIT_PATTERNS
+from shelfwise.session import new_shared_path
 
 RULES = RuleSet(
     merges={"timer_function": "timer", "depth_centimeters": "depth_cm", "programmes": "number_of_programmes"},
@@ -200,6 +201,16 @@ def _(v):
     return st.extract_units_auto(v.fx_spec)
 
 
+_BLANK_KEYS = "key in ('weight', 'width', 'capacity', 'spin_speed')"
+
+
+@REGISTRY.add("C03_unicode_blanks", sql_units_auto(f"(select * from fx_spec where {_BLANK_KEYS}) s"))
+def _(v):
+    """Values whose blanks are no-break spaces give what plain ones give."""
+    value = F.when(F.expr("product_id % 2 = 0"), F.translate("value", " ", "\u00a0")).otherwise(F.concat(F.lit("\u202f"), F.translate("value", " ", "\u202f")))
+    return st.extract_units_auto(v.fx_spec.where(_BLANK_KEYS).withColumn("value", value))
+
+
 @REGISTRY.add("C04_extract_units_rules", sql_units_rules("fx_spec"))
 def _(v):
     return st.extract_units_rules(v.fx_spec, RULES.unit_table(v.spark))
@@ -321,6 +332,13 @@ def _(v):
     return product_rules(v.fx_spec, RULES)
 
 
+@REGISTRY.add("C16_stored_rules", sql_product_rules("fx_spec"))
+def _(v):
+    path = new_shared_path(v.spark, "unification_map")
+    write_rules(v.spark, RULES, path)
+    return product_rules(v.fx_spec, read_rules(v.spark, path))
+
+
 @REGISTRY.add("C17_fill_gaps", """
 select product_id, kind, min(ord) as ord, key, min_by(value, src) as value from (
   select product_id, kind, ord + 4294967296 as ord, key, value, 0 as src from fx_spec

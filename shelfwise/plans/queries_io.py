@@ -9,7 +9,7 @@ from shelfwise.operators import standardize as st
 from shelfwise.operators.attributes import to_eav
 from shelfwise.plans.queries_attributes import RULES, STANDARDIZE_SQL, n_products, value_map_table
 from shelfwise.plans.registry import REGISTRY
-from shelfwise.plans.standardizing import product_rules
+from shelfwise.plans.standardizing import product_rules, read_rules, write_rules
 from shelfwise.plans.views import SPEC_ROWS, spark_row_array
 from shelfwise.session import new_shared_path
 from shelfwise.sources.catalog_io import number_products, read_catalog, rejected_documents, write_stage
@@ -121,6 +121,8 @@ def _(v):
 def _(v):
     spark = v.spark
     local = product_rules(v.fx_spec, RULES)
+    rules_path = new_shared_path(spark, "unification_map")
+    write_rules(spark, RULES, rules_path)
     kept = st.key_coverage(local, n_products(v), 10).where("kept").select("kind", "key")
     profile = new_shared_path(spark, "profile")
     kept.write.parquet(profile + "/kept")
@@ -133,7 +135,7 @@ def _(v):
     parts = spark.readStream.schema(v.part.schema).option("pathGlobFilter", "part.parquet").parquet(v.sf_dir)
     out = new_shared_path(spark, "standardized")
     standardize_stream(
-        parts, to_rows, RULES, value_map_table(spark), spark.read.parquet(profile + "/kept"), spark.read.parquet(profile + "/moves"),
+        parts, to_rows, read_rules(spark, rules_path), value_map_table(spark), spark.read.parquet(profile + "/kept"), spark.read.parquet(profile + "/moves"),
         out, out + "-checkpoint",
     ).awaitTermination()
     return spark.read.schema("product_id bigint, kind string, ord bigint, key string, value string").parquet(f"{out}/batch=*")

@@ -96,7 +96,24 @@ def _(v):
     return pf.suffix_clusters(spec_keys(v))
 
 
-@REGISTRY.add("D03_similar_keys")
+# The longest common block of the texts a and b, the earliest in a and then in b.
+_BLOCK = """list_max(flatten([[{'l': l, 'i': -i, 'j': -strpos(b, substr(a, i, l))}
+  for l in range(1, length(a) - i + 2) if contains(b, substr(a, i, l))] for i in range(1, length(a) + 1)]))"""
+
+
+@REGISTRY.add("D03_similar_keys", f"""
+with recursive {SQL_KEYS},
+b as (select *, regexp_replace(key, '({'|'.join(VARIANT_SUFFIXES)})$', '') as base from keys),
+pairs as (select x.key as key1, y.key as key2, x.products as products1, y.products as products2
+          from b x join b y on x.place < y.place and x.base <> y.base),
+rest as (
+  select key1, key2, key1 as a, key2 as b from pairs
+  union all
+  select key1, key2, unnest([substr(a, 1, -m.i - 1), substr(a, m.l - m.i)]), unnest([substr(b, 1, -m.j - 1), substr(b, m.l - m.j)])
+  from (select *, {_BLOCK} as m from rest where a <> '' and b <> '') q where m is not null),
+blocks as (select key1, key2, {_BLOCK} as m from rest where a <> '' and b <> ''),
+ratios as (select key1, key2, 2.0::double * coalesce(sum(m.l), 0) / (length(key1) + length(key2)) as ratio from blocks group by key1, key2)
+select key1, key2, round(ratio, 2) as similarity, products1, products2 from ratios join pairs using (key1, key2) where ratio >= 0.85""")
 def _(v):
     return pf.similar_keys(spec_keys(v))
 

@@ -2,14 +2,14 @@
 
 from __future__ import annotations
 
+import json
 from dataclasses import dataclass, field
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from shelfwise.functions.tables import rule_table
 from shelfwise.operators import standardize as st
-from shelfwise.operators.attributes import delete_keys, remove_cross_kind
 from shelfwise.schemas import EAV_COLUMNS
 from shelfwise.session import cut_lineage
 
@@ -36,16 +36,67 @@ class RuleSet:
             "new_key": [new_key for _, new_key in rules.values()],
         })
 
+    def drop_table(self, spark) -> DataFrame:
+        drops = [("specs", k) for k in [*self.deletions, *self.remove_specs]] + [("features", k) for k in [*self.deletions, *self.remove_features]]
+        kinds, keys = zip(*(drops or [("", "")]))
+        return rule_table(spark, {"kind": list(kinds), "key": list(keys)})
 
-def product_rules(eav: DataFrame, rules: RuleSet) -> DataFrame:
-    """The product-local part: units, merges, deletions, cross-kind removals. One shuffle."""
+
+@dataclass
+class StoredRules:
+    """Rules as tables, of any size: merges (alias, canonical), units (key, units, new_key), drops (kind, key)."""
+
+    merges: DataFrame
+    units: DataFrame
+    drops: DataFrame
+
+    def merge_table(self, spark) -> DataFrame:
+        return self.merges
+
+    def unit_table(self, spark) -> DataFrame:
+        return self.units
+
+    def drop_table(self, spark) -> DataFrame:
+        return self.drops
+
+
+MAP_SCHEMA = """merges map<string,string>, deletions array<string>, unit_extractions map<string,struct<units:array<string>,new_key:string>>,
+  cross_category_removals struct<specs:array<string>,features:array<string>>"""
+
+
+def read_rules(spark: SparkSession, path: str) -> StoredRules:
+    """Rules of a stored unification map, one JSON document or a folder of them; parts that are missing hold no rules."""
+    maps = spark.read.schema(MAP_SCHEMA).json(path, multiLine=True, mode="FAILFAST")
+    both = maps.select(F.explode("deletions").alias("key")).select(F.explode(F.array(F.lit("specs"), F.lit("features"))).alias("kind"), "key")
+    drops = both
+    for kind in ("specs", "features"):
+        drops = drops.unionByName(maps.select(F.lit(kind).alias("kind"), F.explode(f"cross_category_removals.{kind}").alias("key")))
+    return StoredRules(
+        maps.select(F.explode("merges").alias("alias", "canonical")),
+        maps.select(F.explode("unit_extractions").alias("key", "rule")).select("key", "rule.units", "rule.new_key"),
+        drops.distinct(),
+    )
+
+
+def write_rules(spark: SparkSession, rules: RuleSet, path: str) -> None:
+    """Store a rule set as a unification map."""
+    document = {
+        "merges": rules.merges, "deletions": rules.deletions,
+        "unit_extractions": {key: {"units": units, "new_key": new_key} for key, (units, new_key) in rules.unit_rules.items()},
+        "cross_category_removals": {"specs": rules.remove_specs, "features": rules.remove_features},
+    }
+    spark.range(1).select(F.lit(json.dumps(document)).alias("value")).write.mode("overwrite").text(path)
+
+
+def product_rules(eav: DataFrame, rules: RuleSet | StoredRules) -> DataFrame:
+    """The product-local part: units, merges, deletions, cross-kind removals. One shuffle where the rules are small."""
     spark = eav.sparkSession
     units = st.extract_units(eav, rules.unit_table(spark))
     unified = st.resolve_and_unify(units, rules.merge_table(spark))
-    return remove_cross_kind(delete_keys(unified, rules.deletions), rules.remove_specs, rules.remove_features)
+    return unified.join(rules.drop_table(spark), ["kind", "key"], "left_anti").select(*EAV_COLUMNS)
 
 
-def standardize(eav: DataFrame, products: DataFrame, rules: RuleSet, value_map: DataFrame, percent: float = 10.0) -> DataFrame:
+def standardize(eav: DataFrame, products: DataFrame, rules: RuleSet | StoredRules, value_map: DataFrame, percent: float = 10.0) -> DataFrame:
     """Units, keys, coverage, values and kinds.
 
     Runs a job: the product-local result is written once to the shared folder, as columns. Coverage and kind moves

@@ -8,7 +8,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from shelfwise.functions.text import extract_or_null, normalize_label, strip
+from shelfwise.functions.text import extract_or_null, normalize_label, plain_blanks, strip
 from shelfwise.operators.links import host_of
 from shelfwise.schemas import EAV_COLUMNS
 
@@ -21,7 +21,7 @@ def plain_text(html: Column) -> Column:
     decoded = text
     for entity, char in _ENTITIES:
         decoded = F.replace(decoded, F.lit(entity), F.lit(char))
-    return strip(F.when(F.contains(html, F.lit("&")), decoded).otherwise(text))
+    return strip(plain_blanks(F.when(F.contains(html, F.lit("&")), decoded).otherwise(text)))
 
 
 def _cell_value(html: Column) -> Column:

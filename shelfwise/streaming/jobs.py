@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from shelfwise.operators import standardize as st
-from shelfwise.plans.standardizing import RuleSet, product_rules
+from shelfwise.plans.standardizing import RuleSet, StoredRules, product_rules
 from shelfwise.schemas import EAV_COLUMNS
 
 
@@ -36,7 +36,7 @@ def metrics_stream(metrics: DataFrame, late: str = "10 minutes") -> DataFrame:
 
 
 def standardize_stream(
-    arriving: DataFrame, to_rows: Callable[[DataFrame], DataFrame], rules: RuleSet, value_map: DataFrame,
+    arriving: DataFrame, to_rows: Callable[[DataFrame], DataFrame], rules: RuleSet | StoredRules, value_map: DataFrame,
     kept_keys: DataFrame, moves: DataFrame, out: str, checkpoint: str,
 ) -> StreamingQuery:
     """Standardize every arriving batch of products with rules and profiles of the last full run.

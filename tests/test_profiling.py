@@ -22,7 +22,7 @@ def test_similar_keys_find_every_pair(spark, eav):
             keys.add("".join(s) or "q")
     keys = sorted(keys, key=lambda k: (hash(k), k))
     rows = eav(*[(1, "specs", i, k, "v") for i, k in enumerate(keys)])
-    for threshold in (0.85, 0.8):
+    for threshold in (0.85, 0.8, 0.6):
         want = {
             (a, b) for i, a in enumerate(keys) for b in keys[i + 1:] if SequenceMatcher(None, a, b).ratio() >= threshold
         }
@@ -30,9 +30,10 @@ def test_similar_keys_find_every_pair(spark, eav):
         assert got == want
 
 
-def test_similar_keys_refuse_unbounded_thresholds(spark, eav):
-    with pytest.raises(ValueError):
-        pf.similar_keys(pf.key_table(eav((1, "specs", 0, "a", "b"))), 0.5)
+def test_similar_keys_refuse_impossible_thresholds(spark, eav):
+    for threshold in (0, 1.5):
+        with pytest.raises(ValueError):
+            pf.similar_keys(pf.key_table(eav((1, "specs", 0, "a", "b"))), threshold)
 
 
 def test_similar_keys_skip_one_suffix_cluster_and_keep_order(spark, eav):
