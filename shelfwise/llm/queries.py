@@ -120,7 +120,26 @@ def quality_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-@register("op6_ngram_join")
+@register(
+    "op6_ngram_join",
+    r"""
+with recursive w as (
+  select doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') as w
+  from documents
+),
+s as (
+  select distinct doc_id, array_to_string(w[i + 1 : i + least(4, len(w))], ' ') as g
+  from (select doc_id, w, unnest(range(greatest(len(w) - 4, 0) + 1)) as i from w where len(w) > 0)
+),
+n as (select doc_id, count(*) as n from s group by doc_id),
+pairs as (select a.doc_id as x, b.doc_id as y, count(*) as c from s a join s b on a.g = b.g and a.doc_id < b.doc_id group by all),
+links as (
+  select x, y from pairs join n nx on nx.doc_id = x join n ny on ny.doc_id = y where 100 * c >= 85 * (nx.n + ny.n - c)
+),
+both_ways as (select x, y from links union all select y, x from links),
+reach as (select doc_id, doc_id as r from documents union select reach.doc_id, both_ways.y from reach join both_ways on both_ways.x = reach.r)
+select doc_id, coalesce(any_value(n), 0) as n_shingles, min(r) as component_id from reach left join n using (doc_id) group by doc_id""",
+)
 def ngram_components(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_join.near_duplicates(table(spark, sf_dir, "documents"), n=4, percent=85)
 
@@ -150,7 +169,26 @@ def exact_copies(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_duplicates(table(spark, sf_dir, "documents"))
 
 
-@register("op9_suffix_dedup")
+@register(
+    "op9_suffix_dedup",
+    """
+with d as (select doc_id, encode(coalesce(text, '')) as b from documents),
+windows as (select doc_id, p, b[p + 1 : p + 50] as s from (select doc_id, b, unnest(range(octet_length(b) - 49)) as p from d where octet_length(b) >= 50)),
+firsts as (select s, min(doc_id) as first from windows group by s),
+hits as (select doc_id, p from windows join firsts using (s) where first < doc_id),
+marked as (select doc_id, p, p > lag(p, 1, p) over (partition by doc_id order by p) + 50 as apart from hits),
+numbered as (select doc_id, p, sum(apart::int) over (partition by doc_id order by p) as span from marked),
+spans as (select doc_id, min(p) as s, max(p) + 50 as e from numbered group by doc_id, span),
+pieces as (
+  select doc_id, coalesce(lag(e) over (partition by doc_id order by s), 0) as f, s as t from spans
+  union all select doc_id, max(e), 1000000000 from spans group by doc_id
+),
+kept as (select doc_id, sha256(unhex(string_agg(hex(b[f + 1 : t]), '' order by f))) as h from pieces join d using (doc_id) group by doc_id),
+sums as (select doc_id, sum(e - s) as n_removed, count(*) as n_spans from spans group by doc_id)
+select doc_id, octet_length(b)::bigint as n_bytes, coalesce(n_removed, 0)::bigint as n_removed, coalesce(n_spans, 0)::bigint as n_spans,
+       coalesce(h, sha256(b)) as kept_sha256
+from d left join kept using (doc_id) left join sums using (doc_id)""",
+)
 def repeats_removed(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffix_dedup.remove_repeats(table(spark, sf_dir, "documents"))
 
