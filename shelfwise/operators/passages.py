@@ -6,6 +6,8 @@ nothing is shuffled and texts never travel.
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -28,6 +30,17 @@ def windows_of(text: Column, size: int = 1000, overlap: int = 500) -> Column:
     return F.filter(spans, lambda w: w["end"] - w["start"] >= _SMALLEST_WINDOW)
 
 
+def _pieces(text: Column, size: int, overlap: int) -> Column:
+    """The text cut once into pieces that all windows are made of, so that no window is searched from the beginning."""
+    return F.regexp_extract_all(text, F.lit(f"(?s).{{1,{math.gcd(size, size - overlap)}}}"), F.lit(0))
+
+
+def _cut(pieces: Column, start: Column, end: Column, size: int, overlap: int) -> Column:
+    """Text from `start` to `end`: the start of a window, and the end of one or of the text."""
+    step = math.gcd(size, size - overlap)
+    return F.array_join(F.slice(pieces, (start / step).cast("int") + 1, F.ceil((end - start) / step).cast("int")), "")
+
+
 def density(text: Column) -> Column:
     """Weighted pattern hits per 1,000 characters, with the bonus and penalty factors."""
     counts = F.array(*[matches(text, regex) for _, regex, _ in DENSITY_PATTERNS])
@@ -47,11 +60,16 @@ def density(text: Column) -> Column:
 
 def make_windows(docs: DataFrame, size: int = 1000, overlap: int = 500) -> DataFrame:
     """One row per window: doc_id, start, end, text."""
-    spans = docs.select("doc_id", "text", F.explode(windows_of(F.col("text"), size, overlap)).alias("w"))
-    return spans.select(
-        "doc_id", "w.start", "w.end",
-        F.substring("text", F.col("w.start") + 1, F.col("w.end") - F.col("w.start")).alias("text"),
-    )
+    text = F.col("text")
+
+    def cut(pieces: Column) -> Column:
+        return F.transform(
+            windows_of(text, size, overlap),
+            lambda w: F.struct(w["start"].alias("start"), w["end"].alias("end"), _cut(pieces, w["start"], w["end"], size, overlap).alias("text")),
+        )
+
+    # The one-element array binds the pieces, so the text is cut once.
+    return docs.select("doc_id", F.inline(F.transform(F.array(_pieces(text, size, overlap)), cut)[0]))
 
 
 def score_windows(windows: DataFrame) -> DataFrame:
@@ -60,14 +78,16 @@ def score_windows(windows: DataFrame) -> DataFrame:
 
 def _scored(text: Column, size: int = 1000, overlap: int = 500) -> Column:
     """Windows with score, best first and earlier first among equals; only positive scores."""
-    scored = F.transform(
-        windows_of(text, size, overlap),
-        lambda w: F.struct(
-            (-density(F.substring(text, w["start"] + 1, w["end"] - w["start"]))).alias("order"),
-            w["start"].alias("start"), w["end"].alias("end"),
-        ),
-    )
-    return F.array_sort(F.filter(scored, lambda w: w["order"] < 0))
+    def scored(pieces: Column) -> Column:
+        return F.transform(
+            windows_of(text, size, overlap),
+            lambda w: F.struct(
+                (-density(_cut(pieces, w["start"], w["end"], size, overlap))).alias("order"), w["start"].alias("start"), w["end"].alias("end")
+            ),
+        )
+
+    bound = F.transform(F.array(_pieces(text, size, overlap)), scored)[0]
+    return F.array_sort(F.filter(bound, lambda w: w["order"] < 0))
 
 
 _PICKS = "struct<total:int,picked:array<struct<start:int,end:int>>>"
@@ -149,7 +169,11 @@ def select_passages(docs: DataFrame, budget: int = 50000, size: int = 1000, over
         return F.struct((F.size(scored) > 0).alias("dense"), _stitched(_selected(scored, budget), budget).alias("runs"))
 
     found = F.when(long, F.transform(F.array(_scored(text, size, overlap)), chosen)[0])
-    joined = F.array_join(F.transform("_found.runs", lambda r: F.substring(text, r["start"] + 1, r["end"] - r["start"])), PASSAGE_SEPARATOR)
+
+    def runs(pieces: Column) -> Column:
+        return F.transform(F.col("_found.runs"), lambda r: _cut(pieces, r["start"], r["end"], size, overlap))
+
+    joined = F.array_join(F.transform(F.array(_pieces(text, size, overlap)), runs)[0], PASSAGE_SEPARATOR)
     return docs.withColumn("_found", found).withColumn(
         "passage",
         F.when(F.col("_found").isNull(), text).when(F.col("_found.dense"), without_contents_lines(joined)).otherwise(F.substring(text, 1, budget)),
