@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from shelfwise.operators import links as lk
@@ -192,6 +193,39 @@ def _(v):
     return hv.harvest_specs(v.pages.select(F.col("page_id").alias("product_id"), html.alias("html")))
 
 
+@REGISTRY.add("A03_behind_heading", """
+select product_id, case kind when 'specs' then 'specs' else 'features' end as kind, key, value from fx_spec where key <> 'depth' and product_id % 3 <> 0
+union all select product_id, 'specs', 'depth', replace(value, 'cm', ' cm < 99') from fx_spec where key = 'depth' and product_id % 3 <> 0
+union all select p_partkey, 'specs', 'wi_fi_app', 'Yes' from part where p_partkey % 3 <> 0
+union all select p_partkey, 'specs', 'door_lock', 'No' from part where p_partkey % 3 <> 0""")
+def _(v):
+    """A delivery table comes first on each page; every third page has no specification heading."""
+    before = F.lit("<table><tr><td>Delivery</td><td>free</td></tr></table><h2>Technical data</h2>")
+    heading = F.when(F.expr("product_id % 3 <> 0"), F.lit('<h3 class="t">The full <b>data sheet</b></h3>')).otherwise(F.lit("<h3>Reviews</h3>"))
+    pages = v.fx_html.select("product_id", F.concat(before, heading, "html").alias("html"))
+    return hv.harvest_specs(pages, heading="data sheet").drop("ord")
+
+
+@REGISTRY.add("A04_harvest_sections", """
+select page_id as product_id, s.section, cast(s.o as bigint) as section_ord, cast(r.o as bigint) as ord, r.key, r.value
+from pages, (values (0, 'main_features'), (1, 'unknown')) s(o, section),
+  lateral (select 0 as o, 'page' as key, cast(page_id as varchar) as value where page_id % 5 <> 0 union all select 1, 'spin_speed', '1 400 rpm') r""")
+def _(v):
+    """Sections of div rows in front of whole raw pages; the second has no title, and every fifth page a blank value."""
+    page = F.col("page_id").cast("string")
+
+    def row(key: str, value) -> Column:
+        return F.concat(
+            F.lit(f'<div class="flex items-center p-3"><div data-tag-type="accordion" class="x text-body-sm">{key}</div><p>?</p><span class="flex-shrink-0 ml-auto">'),
+            value, F.lit("</span></div>"),
+        )
+
+    rows = F.concat(row("<i>Page</i>", F.when(F.expr("page_id % 5 = 0"), "&nbsp;").otherwise(page)), row("Spin&nbsp;speed", F.lit("1&#160;400 rpm")))
+    section = F.lit('<div data-accordion="specification-features">')
+    html = F.concat(F.lit("<body>"), section, F.lit("<header><h3> Main features </h3></header>"), rows, section, rows, F.lit("</div></div>"), "html")
+    return hv.harvest_sections(v.pages.select(F.col("page_id").alias("product_id"), html.alias("html")))
+
+
 @REGISTRY.add("A05_harvest_jsonld", """
 select p_partkey as product_id,
   case when p_partkey % 4 = 3 then '1' else cast(cast(p_partkey % 41 as double) / 10 + 1 as varchar) end || '/5' as rating_text,

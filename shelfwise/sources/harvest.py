@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from shelfwise.functions.text import extract_or_null, normalize_label, plain_blanks, strip
 from shelfwise.operators.links import host_of
+from shelfwise.rules import ACCORDION_ROW, ACCORDION_SECTION, ACCORDION_TITLE
 from shelfwise.schemas import EAV_COLUMNS
 
 _ENTITIES = [("&nbsp;", " "), ("&#160;", " "), ("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "'"), ("&pound;", "£"), ("&amp;", "&")]
@@ -52,9 +53,11 @@ def _last_of_repeated(entries: Column) -> Column:
     return F.transform(F.array(ordered), deduplicated)[0]
 
 
-def harvest_specs(pages: DataFrame, drop: str = ":") -> DataFrame:
+def harvest_specs(pages: DataFrame, drop: str = ":", heading: str | None = None) -> DataFrame:
     """Attributes from two-cell table rows: the first table is specs, later ones are features.
 
+    With `heading`, a pattern, only tables behind the first heading it matches count; a page without one has none.
+
     Blank values, `-` and `N/A` are dropped; of a repeated key the last value stays. A page is one
     row and repeats are settled inside it, so nothing is shuffled.
     """
@@ -74,13 +77,45 @@ def harvest_specs(pages: DataFrame, drop: str = ":") -> DataFrame:
             ),
         )
 
-    tables = F.regexp_extract_all("html", F.lit(r"(?is)<table\b.*?</table>"), F.lit(0))
+    html = F.col("html")
+    if heading is not None:
+        html = F.regexp_extract(html, rf"(?is)<h([1-6])\b[^>]*+>(?:(?!</h\1).)*?(?:{heading})(?:(?!</h\1).)*?</h\1>(.*+)", 2)
+    tables = F.regexp_extract_all(html, F.lit(r"(?is)<table\b.*?</table>"), F.lit(0))
     kept = F.filter(
         F.flatten(F.transform(tables, pairs)), lambda e: ~e["key"].isin("", "_") & ~e["value"].isin("", "-", "N/A")
     )
     return pages.select("product_id", F.inline(_last_of_repeated(kept))).select(*EAV_COLUMNS)
 
 
+def harvest_sections(
+    pages: DataFrame, section: str = ACCORDION_SECTION, title: str = ACCORDION_TITLE, row: str = ACCORDION_ROW,
+) -> DataFrame:
+    """Attributes from sections of `div` rows: product_id, section, section_ord, ord, key, value, one row each.
+
+    `section` begins a section, `title` holds its name, `row` its key and value. Rows with a blank key or value are
+    dropped. `flatten_sections` makes one level of the result. All inside the page's row.
+    """
+    parts = F.split("html", section)
+    parts = F.slice(parts, 2, F.greatest(F.size(parts) - 1, F.lit(0)))
+
+    def label(html: Column) -> Column:
+        return F.regexp_replace(F.regexp_replace(F.lower(plain_text(html)), "[^a-z0-9]+", "_"), "^_|_$", "")
+
+    def rows(part: Column, s: Column) -> Column:
+        name = label(F.regexp_extract(part, title, 1))
+        pairs = F.arrays_zip(F.regexp_extract_all(part, F.lit(row), F.lit(1)).alias("k"), F.regexp_extract_all(part, F.lit(row), F.lit(2)).alias("v"))
+        return F.transform(
+            pairs,
+            lambda p, r: F.struct(
+                F.when(name == "", "unknown").otherwise(name).alias("section"), s.cast("bigint").alias("section_ord"), r.cast("bigint").alias("ord"),
+                label(p["k"]).alias("key"), plain_text(p["v"]).alias("value"),
+            ),
+        )
+
+    found = F.filter(F.flatten(F.transform(parts, rows)), lambda e: ~e["key"].isin("", "_") & (e["value"] != ""))
+    return pages.select("product_id", F.inline(found))
+
+
 _AGGREGATE = "aggregateRating struct<ratingValue:string,reviewCount:string>, review array<struct<reviewBody:string>>"
 
 
