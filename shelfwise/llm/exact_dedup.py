@@ -191,12 +191,12 @@ def drop_copies(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") ->
     several = groups.filter("group_size > 1").select("fp", "n_bytes", "class_no", "keep_id", "keep_row")
     grouped = stored(members.join(several, ["fp", "n_bytes", "class_no"]), "copies-grouped")
     maybe, single = MaybeIn(grouped.select(F.col("id").alias(doc_id)), doc_id).split(docs)
-    fp, n_bytes, sha = fresh(docs, "_fp", "_n_bytes", "_sha")
+    fp, n_bytes, sha, its_id, its_text, kept = fresh(docs, "_fp", "_n_bytes", "_sha", "_id", "_text", "_kept")
     maybe = _prints(maybe, text, [fp, n_bytes, sha], MODULUS, None)
-    verdict = grouped.groupBy(F.col("id").alias("_id"), F.col("sha").alias("_text")).agg(F.max(F.col("row") == F.col("keep_row")).alias("_kept"))
-    judged = maybe.join(verdict, maybe[doc_id].eqNullSafe(verdict["_id"]) & (maybe[sha] == verdict["_text"]), "left")
-    stay = judged.filter(F.col("_kept").isNull() | F.col("_kept"))
+    stays = F.max(F.col("row") == F.col("keep_row")).alias(kept)
+    verdict = grouped.groupBy(F.col("id").alias(its_id), F.col("sha").alias(its_text)).agg(stays)
+    judged = maybe.join(verdict, F.col(doc_id).eqNullSafe(F.col(its_id)) & (F.col(sha) == F.col(its_text)), "left")
     # A row that is in a group and stays may itself be repeated.
-    alone = stay.filter(F.col("_kept").isNull()).select(*docs.columns)
-    once = stay.filter(F.col("_kept")).dropDuplicates([doc_id, sha]).select(*docs.columns)
+    alone = judged.filter(F.col(kept).isNull()).select(*docs.columns)
+    once = judged.filter(F.col(kept)).dropDuplicates([doc_id, sha]).select(*docs.columns)
     return single.unionByName(alone).unionByName(once)

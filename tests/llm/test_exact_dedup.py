@@ -46,7 +46,7 @@ def test_empty_table(docs):
 
 def test_dropping_keeps_columns_and_one_row_of_each_group(spark):
     rows = [(1, "a b", 7, "x"), (2, "a  b", 8, "y"), (3, "c", 9, "z"), (3, "c", 9, "z"), (4, None, 1, None)]
-    df = spark.createDataFrame(rows, "doc_id long, text string, fp int, _sha string")
+    df = spark.createDataFrame(rows, "doc_id long, text string, fp int, _kept string")
     left = op.drop_copies(df)
     assert left.columns == df.columns
     assert sorted((r.doc_id, r.fp) for r in left.collect()) == [(1, 7), (3, 9), (4, 1)]
