@@ -19,7 +19,7 @@ from shelfwise.llm.common import annotate, prepare_text
 # A cut is made behind each place where the hash of the last 16 bytes has CUT_BITS zero bits on top.
 CUT_BITS = 10
 LEAST_CHUNK = 128
-STORE_BYTES = 96 << 20
+STORE_BYTES = 32 << 20
 FIELDS = {"n_tokens": T.LongType(), "ids_sha256": T.StringType(), "decoded_sha256": T.StringType()}
 # Fixed value: the words that byte-level BPE splits a text into before it merges bytes.
 PRETOKEN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""

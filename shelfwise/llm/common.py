@@ -24,11 +24,11 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def prepare_text(spark: SparkSession) -> None:
+def prepare_text(spark: SparkSession, batch_bytes: int = 4 << 20) -> None:
     """Batches to Python workers are bounded by bytes, so that long texts do not fill a worker."""
     prepare(spark)
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "2000")
-    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(16 << 20))
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(batch_bytes))
 
 
 def stored(df: DataFrame, name: str) -> DataFrame:
