@@ -7,7 +7,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shelfwise.llm import bpe, chat_format, decontaminate, exact_dedup, licenses, ngram_join, quality, suffix_dedup, toxicity, warc
+from shelfwise.llm import (
+    bpe, chat_format, clustering, decontaminate, exact_dedup, licenses, ngram_join, quality, sharding, suffix_dedup, toxicity, warc, whitening,
+)
 from shelfwise.llm.common import crc_mod, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -235,3 +237,96 @@ def chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.length("loss_text").cast("long").alias("loss_chars"), F.sha2(F.col("loss_text").cast("binary"), 256).alias("loss_sha256"),
         F.length("formatted").cast("long").alias("formatted_chars"),
     )
+
+
+def _cluster_sql(k: int = clustering.CLUSTERS, rounds: int = clustering.ROUNDS) -> str:
+    steps = [
+        """kept as materialized (
+  select vec_id, list_transform(embedding, lambda c: floor(1024 * c::double)::bigint) as x from embeddings
+  where len(embedding) = 64 and len(list_filter(embedding, lambda c: isfinite(c))) = 64
+)""",
+        f"""c0 as materialized (
+  select row_number() over (order by h, x) - 1 as cluster, x as c
+  from (select sha256('{clustering.SEED}:' || vec_id::varchar) as h, x from kept where vec_id is not null order by h, x limit {k})
+)""",
+    ]
+    for i in range(rounds + 1):
+        steps.append(f"""a{i} as materialized (
+  select vec_id, x, arg_min(cluster, (d, cluster)) as cluster, min(d) as d
+  from (
+    select r, vec_id, x, cluster, list_sum(list_transform(list_zip(x, c), lambda p: (p[1] - p[2]) * (p[1] - p[2])))::bigint as d
+    from (select row_number() over () as r, * from kept), c{i}
+  ) group by r, vec_id, x
+)""")
+        if i < rounds:
+            steps.append(f"""c{i + 1} as materialized (
+  select cluster, coalesce(m, c) as c
+  from c{i} left join (
+    select cluster, list((s - ((s % n) + n) % n) // n order by p) as m
+    from (
+      select cluster, p, sum(v)::bigint as s, count(*)::bigint as n
+      from (select cluster, unnest(range(64)) as p, unnest(x) as v from a{i}) group by cluster, p
+    ) group by cluster
+  ) using (cluster)
+)""")
+    return f"""
+with {", ".join(steps)}
+select vec_id, cluster::int as cluster, d as distance, sum(d) over (partition by cluster)::bigint as cluster_inertia,
+       sum(d) over ()::bigint as inertia, sha256(array_to_string(c, ',')) as centroid_sha256
+from a{rounds} join c{rounds} using (cluster)"""
+
+
+@register("op11_clustering", _cluster_sql())
+def centroid_clusters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return clustering.cluster_vectors(table(spark, sf_dir, "embeddings")).drop("centroid")
+
+
+def _shard_sql(shards: int = sharding.SHARDS) -> str:
+    nodes = []
+    for tree in (shards, shards + 1):
+        for level, groups in enumerate(sharding.tree_levels(sharding.topology(tree))):
+            nodes += [
+                f"({tree}, {level}, '{path.rpartition('/')[0]}', '{path}', {number}, {weight})" for group in groups for path, number, weight in group
+            ]
+    draw = "-ln((('0x' || substr(md5(coalesce(doc_id::varchar, '') || '|' || path), 1, 13))::bigint + 0.5) / 4503599627370496) / weight"
+
+    def level(i: int, before: str) -> str:
+        under = "and parent = node" if i else ""
+        return f"l{i} as (select tree, doc_id, arg_min(path, {draw}) as node, arg_min(number, {draw}) as shard from {before} join nodes using (tree) where level = {i} {under} group by tree, doc_id)"
+
+    return f"""
+with nodes(tree, level, parent, path, number, weight) as (values {", ".join(nodes)}),
+keys as (select distinct tree, doc_id from documents, (select distinct tree from nodes)),
+{level(0, "keys")},
+{level(1, "l0")},
+{level(2, "l1")},
+crc_table as (
+  select list_transform(range(16), lambda i: list_reduce([0, 1, 2, 3], lambda c, x: case when (c & 1) = 1 then xor(c >> 1, 3988292384) else c >> 1 end, i::bigint)) as t
+),
+hexed as (select doc_id, hex(encode(coalesce(text, ''))) as h from documents),
+sized as (
+  select doc_id, length(h) // 2 + 1 as size,
+         xor(list_reduce(
+           list_transform(range(length(h)), lambda i: (instr('0123456789ABCDEF', substr(h, (i + 2 - 2 * (i % 2))::int, 1)) - 1)::bigint),
+           lambda c, x: xor(c >> 4, t[(xor(c, x) & 15) + 1]), 4294967295::bigint), 4294967295) as crc
+  from hexed, crc_table
+)
+select doc_id, size::bigint as size, crc::bigint as text_crc32, 'key' as law, a.shard::int as shard,
+       row_number() over (partition by a.shard order by substr(md5(concat_ws('|', doc_id::varchar, size::varchar, crc::varchar)), 1, 13), doc_id) - 1 as slot,
+       b.shard::int as grown_shard
+from sized join l2 a using (doc_id) join l2 b using (doc_id) where a.tree = {shards} and b.tree = {shards + 1}"""
+
+
+@register("op12_sharding", _shard_sql())
+def shards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sharding.shard_table(table(spark, sf_dir, "documents"))
+
+
+@register("op13_whitening")
+def whitened_embeddings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = whitening.whiten(table(spark, sf_dir, "embeddings"))
+    each = F.posexplode(F.arrays_zip("whitened", "explained"))
+    return rows.select("vec_id", "n", F.expr("try_cast(deviation as bigint)").alias("deviation"), "identity_error", each.alias("at", "z")).select(
+        "vec_id", (F.col("at") + 1).alias("component"), "n", "deviation", F.col("z.whitened").alias("whitened"),
+        F.col("z.explained").alias("explained"), "identity_error",
+    )
