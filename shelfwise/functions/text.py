@@ -15,8 +15,17 @@ OTHER_BLANKS = "\x1c\x1d\x1e\x1f\x85\u00a0\u1680" + "".join(map(chr, range(0x200
 
 
 def plain_blanks(c: Column) -> Column:
-    """Text with every blank outside ASCII as a space, so that patterns see one kind of blank."""
-    return F.translate(c, OTHER_BLANKS, " " * len(OTHER_BLANKS))
+    """Text with every blank outside ASCII as a space, so that patterns see one kind of blank.
+
+    Only texts that may hold one are read character by character; the one-element array computes `c` once.
+    """
+    def spaced(text: Column) -> Column:
+        odd = F.length(text) != F.octet_length(text)
+        for separator in OTHER_BLANKS[:4]:
+            odd = odd | F.contains(text, F.lit(separator))
+        return F.when(odd, F.translate(text, OTHER_BLANKS, " " * len(OTHER_BLANKS))).otherwise(text)
+
+    return F.transform(F.array(c), spaced)[0]
 
 
 def strip(c: Column) -> Column:

@@ -206,6 +206,91 @@ def _(v):
     return hv.harvest_specs(pages, heading="data sheet").drop("ord")
 
 
+_SIZE = "cast(p_size as string)"
+
+
+def part_pages(v, *pieces: str):
+    """A page for each part, from SQL expressions over its row."""
+    return v.part.select(F.col("p_partkey").alias("product_id"), F.concat(*[F.expr(p) for p in pieces]).alias("html"))
+
+
+@REGISTRY.add("A03_nested_tables", """
+select p_partkey as product_id, k.kind, k.key, case k.v when 'name' then p_name when 'size' then cast(p_size as varchar) else k.v end as value
+from part, (values ('specs', 'width', 'size'), ('specs', 'colour', 'name'), ('specs', 'inner_height', 'size'), ('specs', 'deepest', 'name'),
+  ('specs', 'behind', 'last'), ('features', 'timer', 'Yes'), ('features', 'brand', 'name'), ('features', 'open', 'size')) k(kind, key, v)
+where k.key <> 'deepest' or p_partkey % 2 = 0""")
+def _(v):
+    """A table in a cell, on every second page another one in that; a table that is never closed; closing tags left out."""
+    return hv.harvest_specs(part_pages(
+        v, "'</table><p>1 < 2</p><TABLE class=a><tr><td>Width<td>'", _SIZE, "'<tr><th>Size</th><td><table border=1><tr><td>Inner height</td><td>'", _SIZE,
+        "'</td></tr><tr><td>More</td><td>'",
+        "case when p_partkey % 2 = 0 then '<table><tr><td>Deepest</td><td>' || p_name || '</td></tr></table>' else '<table></table>' end",
+        "'</td></tr></table> and <table><tr><td>a</td></tr></table></td></tr><tr><td>Colour</td><td>'", "p_name",
+        "'</td></tr><tr><td>Behind</td><td>last</td></tr></table><table><tbody><tr><td>Timer</td><td>Yes</td></tr><tr><td>Brand</td><td>'", "p_name",
+        "'</td></tr></tbody><table><tr><td>Open</td><td>'", _SIZE, "'</td></tr>'",
+    )).drop("ord")
+
+
+@REGISTRY.add("A03_commented_tables", """
+select p_partkey as product_id, k.kind, k.key, case k.v when 'name' then p_name else cast(p_size as varchar) end as value
+from part, (values ('specs', 'width', 'size'), ('specs', 'maker', 'name'), ('features', 'rows', 'size')) k(kind, key, v)""")
+def _(v):
+    """Tables inside comments, scripts and templates are no tables, wherever they stand; a comment that never ends is one too."""
+    old = "'<table><tr><td>Old</td><td>' || p_name || '</td></tr></table>'"
+    return hv.harvest_specs(part_pages(
+        v, "'<!-- '", old, "' --><script>var t = \"'", old, "'\";</script><table><!-- </table> --><tr><td>Width</td><td><!-- 9 -->'", _SIZE,
+        "'</td></tr><!--<tr><td>Old</td><td>1</td></tr>--><tr><td>Maker</td><td>'", "p_name", "'</td></tr></table><template>'", old,
+        "'</template><table><tr><td>Rows</td><td>'", _SIZE, "'</td></tr></table><!-- '", old,
+    )).drop("ord")
+
+
+@REGISTRY.add("A03_icon_paths", """
+select p_partkey as product_id, 'specs' as kind, k.key, case k.v when 'size' then cast(p_size as varchar) else k.v end as value
+from part, (values ('steam', 'Yes'), ('lock', 'No'), ('app', 'Yes'), ('grill', 'No'), ('code', 'M438.6 of size'), ('wash', 'size')) k(key, v)""")
+def _(v):
+    """Icons without a name, told by their drawing; the same characters in a text or in a name mean nothing."""
+    def row(key: str, value: str) -> str:
+        return f"'<tr><td>{key}</td><td><span class=\"BodyText\">{value}</span></td></tr>'"
+
+    svg = '<svg viewBox="0 0 512 512"><path fill="none" d="{}"/></svg>'
+    return hv.harvest_specs(part_pages(
+        v, "'<table>'", row("Steam", svg.format("M438.6 105.4c12.5 12.5")), row("Lock", svg.format("M342.6 150.6c12.5-12.5")),
+        row("App", '<svg data-icon="check"></svg>'), row("Grill", '<svg data-icon="xmark"><path d="M1 1"/></svg>'), row("Code", "M438.6 of size"),
+        f"replace({row('Wash', '<svg><path id=M438.6 d=M2/></svg>@')}, '@', {_SIZE})", row("None", svg.format("M1 1")), "'</table>'",
+    )).drop("ord")
+
+
+@REGISTRY.add("A03_character_references", """
+select p_partkey as product_id, 'specs' as kind, k.key, replace(k.v, '@', cast(p_size as varchar)) as value
+from part, (values ('price', '£@.99'), ('price_2', '£@'), ('price_3', '€@'), ('noise', '@ dB'), ('range', '@–20 °C'), ('note', '&lt; @ & "co" &nothing;'),
+  ('odd', '' || chr(65533) || '@'), ('face', '😀 @')) k(key, v)""")
+def _(v):
+    def row(key: str, value: str) -> str:
+        return f"replace('<tr><td>{key}</td><td>{value}</td></tr>', '@', {_SIZE})"
+
+    return hv.harvest_specs(part_pages(
+        v, "'<table>'", row("Price", "&#163;@.99"), row("Price&nbsp;2", "&#xA3;@"), row("Price&#160;3", "&#128;@"), row("Noise", "@&#8239;dB"),
+        row("Range", "@&ndash;20&nbsp;&deg;C"), row("Note", "&amp;lt; @ &amp; &quot;co&quot; &nothing;"), row("Odd", "&#55555;@"), row("Face", "&#x1F600; @"), "'</table>'",
+    )).drop("ord")
+
+
+@REGISTRY.add("A03_feature_bullets", """
+select p_partkey as product_id, 'features' as kind, cast(k.n - 1 as bigint) as ord, 'feature_' || cast(k.n as varchar) as key,
+       replace(k.v, '@', case when k.n = 1 then p_name else cast(p_size as varchar) end) as value
+from part, (values (1, 'Made as @'), (3, 'Holds @ litres & more'), (4, 'Part @ of an inner list'), (6, '12345678901')) k(n, v)
+where length(replace(k.v, '@', case when k.n = 1 then p_name else cast(p_size as varchar) end)) > 10""")
+def _(v):
+    def item(text: str, put: str = _SIZE) -> str:
+        return f"replace('<li class=\"x\"><span class=\"a-list-item\"> {text} </span></li>', '@', {put})"
+
+    return hv.harvest_bullets(part_pages(
+        v, "'<ul><li><span class=\"a-list-item\">Not in the section, long enough</span></li></ul><div id=\"feature-bullets\"><h1>About</h1><ul class=\"a\">'",
+        item("Made <b>as</b> <span>@</span>", "p_name"), item("short @"), item("Holds @ litres &amp; more"),
+        "'<li><ul>'", item("Part <span class=\"b\">@</span> of an inner list"), "'</ul></li>'", item("1234567890"), item("12345678901"),
+        "'<li>no marked item in here</li></ul><ul><li><span class=\"a-list-item\">A second list of the section</span></li></ul></div>'",
+    ))
+
+
 @REGISTRY.add("A04_harvest_sections", """
 select page_id as product_id, s.section, cast(s.o as bigint) as section_ord, cast(r.o as bigint) as ord, r.key, r.value
 from pages, (values (0, 'main_features'), (1, 'unknown')) s(o, section),

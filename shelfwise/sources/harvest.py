@@ -8,30 +8,25 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from shelfwise.functions.text import extract_or_null, normalize_label, plain_blanks, strip
+from shelfwise.functions.text import extract_or_null, normalize_label, strip
 from shelfwise.operators.links import host_of
-from shelfwise.rules import ACCORDION_ROW, ACCORDION_SECTION, ACCORDION_TITLE
+from shelfwise.rules import (
+    ACCORDION_ROW, ACCORDION_SECTION, ACCORDION_TITLE, BULLET_ITEM, BULLET_LONGER_THAN, BULLETS_START, CHECK_MARKS, CROSS_MARKS,
+)
 from shelfwise.schemas import EAV_COLUMNS
-
-_ENTITIES = [("&nbsp;", " "), ("&#160;", " "), ("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "'"), ("&pound;", "£"), ("&amp;", "&")]
-
-
-def plain_text(html: Column) -> Column:
-    """Text of a fragment: tags removed, common entities decoded, ends trimmed."""
-    text = F.when(F.contains(html, F.lit("<")), F.regexp_replace(html, "<[^>]*>", "")).otherwise(html)
-    decoded = text
-    for entity, char in _ENTITIES:
-        decoded = F.replace(decoded, F.lit(entity), F.lit(char))
-    return strip(plain_blanks(F.when(F.contains(html, F.lit("&")), decoded).otherwise(text)))
+from shelfwise.sources.markup import bind, plain_text, rows_of, tables_of, until_closed, without_unseen
 
 
 def _cell_value(html: Column) -> Column:
-    """Check and cross icons read as Yes and No; of a shortened text the full form is taken."""
-    full = extract_or_null(html, r'(?is)<[^>]*a-truncate-full[^>]*>(.*?)</span>')
-    check, cross = F.contains(html, F.lit('data-icon="check"')), F.contains(html, F.lit('data-icon="xmark"'))
-    return F.when(check, "Yes").when(cross, "No").when(
-        F.contains(html, F.lit("a-truncate-full")), plain_text(F.coalesce(full, html))
-    ).otherwise(plain_text(html))
+    """Check and cross icons, told by name or drawing, read as Yes and No; of a shortened text the full form is taken."""
+    def shown(marks: tuple[str, str]) -> Column:
+        name, stroke = marks
+        drawn = F.contains(html, F.lit(stroke)) & html.rlike(rf'(?is)<path\b[^>]*\sd="[^"]*{stroke.replace(".", "[.]")}')
+        return F.contains(html, F.lit(name)) | drawn
+
+    icon = F.when(F.contains(html, F.lit("<svg")), F.when(shown(CHECK_MARKS), "Yes").when(shown(CROSS_MARKS), "No"))
+    full = F.when(F.contains(html, F.lit("a-truncate-full")), extract_or_null(html, r'(?is)<[^>]*a-truncate-full[^>]*>(.*?)</span>'))
+    return F.coalesce(icon, plain_text(F.coalesce(full, html)))
 
 
 def _last_of_repeated(entries: Column) -> Column:
@@ -54,39 +49,54 @@ def _last_of_repeated(entries: Column) -> Column:
 
 
 def harvest_specs(pages: DataFrame, drop: str = ":", heading: str | None = None) -> DataFrame:
-    """Attributes from two-cell table rows: the first table is specs, later ones are features.
+    """Attributes from table rows of two cells: those of the first table are specs, those of later ones features.
 
-    With `heading`, a pattern, only tables behind the first heading it matches count; a page without one has none.
+    Rows belong to the table they stand in, and an inner table's rows count with the outermost one around them. A row
+    with a table in one of its cells has more than two cells and gives nothing itself. Tables in comments, scripts,
+    styles and templates are no tables. With `heading`, a pattern, only tables behind the first heading it matches count;
+    a page without one has none.
 
     Blank values, `-` and `N/A` are dropped; of a repeated key the last value stays. A page is one
     row and repeats are settled inside it, so nothing is shuffled.
     """
-    def cells(row: Column) -> Column:
-        return F.regexp_extract_all(row, F.lit(r"(?is)<t[dh]\b[^>]*>(.*?)</t[dh]>"), F.lit(1))
-
-    def pairs(table: Column, t: Column) -> Column:
-        rows = F.regexp_extract_all(table, F.lit(r"(?is)<tr\b[^>]*>(.*?)</tr>"), F.lit(1))
-        split = F.filter(F.transform(rows, lambda row, r: F.struct(r.alias("r"), cells(row).alias("c"))), lambda p: F.size(p["c"]) == 2)
+    def pairs(table: Column) -> Column:
+        split = F.filter(F.transform(rows_of(table["own"]), lambda c, r: F.struct(r.alias("r"), c.alias("c"))), lambda p: F.size(p["c"]) == 2)
         return F.transform(
             split,
             lambda p: F.struct(
-                F.when(t == 0, "specs").otherwise("features").alias("kind"),
+                F.when(table["top"] == 1, "specs").otherwise("features").alias("kind"),
                 normalize_label(plain_text(p["c"][0]), drop).alias("key"),
-                (t.cast("bigint") * (1 << 24) + p["r"]).alias("ord"),
-                _cell_value(p["c"][1]).alias("value"),
+                (table["at"].cast("bigint") * (1 << 24) + p["r"]).alias("ord"),
+                bind(p["c"][1], _cell_value).alias("value"),
             ),
         )
 
-    html = F.col("html")
+    html = without_unseen(F.col("html"))
     if heading is not None:
         html = F.regexp_extract(html, rf"(?is)<h([1-6])\b[^>]*+>(?:(?!</h\1).)*?(?:{heading})(?:(?!</h\1).)*?</h\1>(.*+)", 2)
-    tables = F.regexp_extract_all(html, F.lit(r"(?is)<table\b.*?</table>"), F.lit(0))
     kept = F.filter(
-        F.flatten(F.transform(tables, pairs)), lambda e: ~e["key"].isin("", "_") & ~e["value"].isin("", "-", "N/A")
+        F.flatten(F.transform(tables_of(html), pairs)), lambda e: ~e["key"].isin("", "_") & ~e["value"].isin("", "-", "N/A")
     )
     return pages.select("product_id", F.inline(_last_of_repeated(kept))).select(*EAV_COLUMNS)
 
 
+def harvest_bullets(pages: DataFrame) -> DataFrame:
+    """Feature bullets `feature_1`, `feature_2`, ... of the first list in the page's feature section.
+
+    An item's number is its place in the list; items of ten characters or fewer are left out and keep their number.
+    Inner lists belong to the list. All inside the page's row.
+    """
+    section = F.get(F.split(without_unseen(F.col("html")), BULLETS_START), F.lit(1))
+    first = F.get(F.split(section, r"(?i)<ul\b[^>]*+>", 2), F.lit(1))
+    items = bind(F.split(until_closed(first, "ul"), BULLET_ITEM), lambda i: F.slice(i, F.lit(2), F.greatest(F.size(i) - 1, F.lit(0))))
+    texts = F.transform(items, lambda item, i: F.struct(
+        F.lit("features").alias("kind"), F.concat(F.lit("feature_"), (i + 1).cast("string")).alias("key"), i.cast("bigint").alias("ord"),
+        plain_text(until_closed(item, "span")).alias("value"),
+    ))
+    long_enough = F.filter(texts, lambda t: F.length(t["value"]) > BULLET_LONGER_THAN)
+    return pages.select("product_id", F.inline(long_enough)).select(*EAV_COLUMNS)
+
+
 def harvest_sections(
     pages: DataFrame, section: str = ACCORDION_SECTION, title: str = ACCORDION_TITLE, row: str = ACCORDION_ROW,
 ) -> DataFrame:
