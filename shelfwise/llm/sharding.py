@@ -16,6 +16,8 @@ RACKS_A_REGION, SHARDS_A_RACK = 2, 4
 DRAW_DIGITS, DRAW_BITS = 13, 52
 # Rows numbered in one task, about; a shard has as many ranges as it needs.
 ROWS_A_RANGE = 20_000
+# Slots that one row of equal documents is given at once.
+SLOTS_A_BLOCK = 4_096
 
 
 class Leaf(NamedTuple):
@@ -110,7 +112,7 @@ def number_slots(rows: DataFrame, shard: str, order: list[str]) -> DataFrame:
 
     Equal rows are counted before they are shuffled. A shard's hash range is cut into as many ranges as its rows need;
     ranges are numbered side by side, each from the number of rows in the ranges before it, so no task holds a shard.
-    Equal rows get neighbouring slots. The rows are written to the shared folder once, as they are read twice.
+    Equal rows get neighbouring slots, in blocks that many tasks write. The rows are written to the shared folder once, as they are read twice.
     """
     columns = rows.columns
     n, draw, part, start, slot = fresh(rows, "_n", "_draw", "_part", "_start", "slot")
@@ -125,7 +127,11 @@ def number_slots(rows: DataFrame, shard: str, order: list[str]) -> DataFrame:
     starts = ranged.groupBy(shard, part).agg(F.sum(n).alias(start)).withColumn(start, F.coalesce(F.sum(start).over(before), F.lit(0)))
     inside = Window.partitionBy(shard, part).orderBy(draw, *order).rowsBetween(Window.unboundedPreceding, -1)
     placed = ranged.join(starts, [shard, part]).withColumn(start, F.col(start) + F.coalesce(F.sum(n).over(inside), F.lit(0)))
-    return placed.select(*columns, F.explode(F.sequence(start, F.col(start) + F.col(n) - 1)).alias(slot))
+    # Very many equal rows become blocks, and blocks are dealt anew, before there is a row for each slot.
+    last = F.col(start) + F.col(n) - 1
+    blocks = placed.select(*columns, last.alias(n), F.explode(F.sequence(F.col(start), last, F.lit(SLOTS_A_BLOCK).cast("long"))).alias(start))
+    dealt = blocks.repartition(shard, start)
+    return dealt.select(*columns, F.explode(F.sequence(F.col(start), F.least(n, F.col(start) + SLOTS_A_BLOCK - 1))).alias(slot))
 
 
 def assign_shards(docs: DataFrame, leaves: Iterable[Leaf] | None = None, doc_id: str = "doc_id", into: str = "shard") -> DataFrame:

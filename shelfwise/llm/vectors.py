@@ -13,8 +13,8 @@ from pyspark.sql import functions as F
 from shelfwise.llm.common import stored
 
 SCALE = 1024
-# Larger components would let sums of squares inside one batch leave 64 bits.
-LARGEST = 1 << 24
+# Larger components would let the sums of squares of SUMMED vectors leave 64 bits.
+LARGEST, SUMMED = 1 << 24, 1024
 
 
 def integer_vectors(vectors: DataFrame, dims: int, vec_id: str = "vec_id", embedding: str = "embedding", shift: int = 0) -> DataFrame:
@@ -44,11 +44,13 @@ def matrix(batch: pa.RecordBatch, dims: int) -> np.ndarray:
 def exact_sums(vectors: DataFrame, dims: int, width: int, of_batch: Callable[[np.ndarray], np.ndarray]) -> list[int]:
     """Sums over all vectors of `width` integers that `of_batch` adds up for a batch of them.
 
-    A task sends `width` partial sums, Spark adds them by place, and the driver gets `width` numbers whatever the input.
+    `of_batch` gets SUMMED vectors at most. A task sends `width` partial sums, Spark adds them by place, and the driver gets
+    `width` numbers whatever the input.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        parts = (of_batch(matrix(b, dims)).astype(object) for b in batches if b.num_rows)
+        slices = (b.slice(i, SUMMED) for b in batches for i in range(0, b.num_rows, SUMMED))
+        parts = (of_batch(matrix(part, dims)).astype(object) for part in slices)
         total = reduce(lambda a, b: b if a is None else a + b, parts, None)
         if total is not None:
             yield pa.RecordBatch.from_arrays([pa.array(range(width), pa.int32()), pa.array([str(v) for v in total])], names=["place", "value"])

@@ -178,8 +178,8 @@ def whiten(
         for batch in batches:
             y = matrix(batch, dims) - centre
             squares = (y * y).sum(axis=1).astype(object)
-            # Below 2**38 vectors the products with the remainders stay inside 64 bits.
-            mixed = (y @ rest_ints.astype(np.int64)).astype(object) if n < 1 << 32 else y.astype(object) @ rest_ints
+            # Products with the remainders, which are below n, stay inside 64 bits up to here.
+            mixed = (y @ rest_ints.astype(np.int64)).astype(object) if n * dims < 1 << 37 else y.astype(object) @ rest_ints
             deviation = n * n * squares - 2 * n * mixed + rest_squares
             z = (y - fraction) @ scaled
             offsets = pa.array(range(0, z.size + 1, z.shape[1]) if z.shape[1] else [0] * (len(z) + 1), pa.int32())

@@ -8,6 +8,7 @@ from tests.conftest import plan_of
 
 def test_every_row_a_gapless_slot_and_one_more_shard_takes_into_itself(spark, docs, monkeypatch):
     monkeypatch.setattr(op, "ROWS_A_RANGE", 7)
+    monkeypatch.setattr(op, "SLOTS_A_BLOCK", 9)
     rows = [(i, f"text é {i}") for i in range(600)] + [(5, "again")] * 40 + [(None, None)] * 50 + [(700, ""), (701, "long " * 60_000)]
     df = docs(rows).selectExpr("doc_id", "text", "1 as shard", "2 as slot", "'x' as _n")
     got = op.shard_table(df, 5, founded=4).collect()
