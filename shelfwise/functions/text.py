@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import re
-
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -52,9 +50,10 @@ def extract_or_null(c: Column, pattern: str, group: int = 1) -> Column:
 
 
 def normalize_label(label: Column, drop: str = ":") -> Column:
-    """`Max. Load (kg):` -> `max_load_kg`; only one separator is trimmed on each side."""
-    cleaned = F.lower(F.regexp_replace(label, f"[{re.escape(drop)}]", ""))
-    return F.regexp_replace(F.regexp_replace(cleaned, "[^a-z0-9]+", "_"), "^_|_$", "")
+    """`Max. Load (kg):` -> `max_load_kg`."""
+    for char in drop:
+        label = F.replace(label, F.lit(char), F.lit(""))
+    return F.btrim(F.regexp_replace(F.lower(label), "[^a-z0-9]+", "_"), F.lit("_"))
 
 
 def bare_key(key: Column) -> Column:

@@ -8,25 +8,40 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from shelfwise.functions.text import extract_or_null, normalize_label, strip
+from shelfwise.functions.text import WHITESPACE, extract_or_null, normalize_label, plain_blanks, strip
 from shelfwise.operators.links import host_of
 from shelfwise.rules import (
     ACCORDION_ROW, ACCORDION_SECTION, ACCORDION_TITLE, BULLET_ITEM, BULLET_LONGER_THAN, BULLETS_START, CHECK_MARKS, CROSS_MARKS,
 )
 from shelfwise.schemas import EAV_COLUMNS
-from shelfwise.sources.markup import bind, plain_text, rows_of, tables_of, until_closed, without_unseen
+from shelfwise.sources.markup import bind, plain_text, tables_of, two_cell_rows, until_closed, without_unseen
 
 
-def _cell_value(html: Column) -> Column:
-    """Check and cross icons, told by name or drawing, read as Yes and No; of a shortened text the full form is taken."""
-    def shown(marks: tuple[str, str]) -> Column:
-        name, stroke = marks
-        drawn = F.contains(html, F.lit(stroke)) & html.rlike(rf'(?is)<path\b[^>]*\sd="[^"]*{stroke.replace(".", "[.]")}')
-        return F.contains(html, F.lit(name)) | drawn
+# Marks that the values of icons and full texts leave in a page's text; `plain_blanks` has taken them out before.
+_YES, _NO, _FULL = "\x1c", "\x1e", "\x1f"
 
-    icon = F.when(F.contains(html, F.lit("<svg")), F.when(shown(CHECK_MARKS), "Yes").when(shown(CROSS_MARKS), "No"))
-    full = F.when(F.contains(html, F.lit("a-truncate-full")), extract_or_null(html, r'(?is)<[^>]*a-truncate-full[^>]*>(.*?)</span>'))
-    return F.coalesce(icon, plain_text(F.coalesce(full, html)))
+
+def _marked(html: Column) -> Column:
+    """Markup with a mark for each check and cross icon, told by name or drawing, and around each full form of a shortened text."""
+    def icons(h: Column, mark: str, name: str, stroke: str) -> Column:
+        named = F.when(F.contains(h, F.lit(name)), F.regexp_replace(h, rf"{name}[^>]*>", f">{mark}")).otherwise(h)
+        drawing = rf'(?i)(<path\b[^>]*\sd="[^">]*){stroke.replace(".", "[.]")}[^>]*>'
+        return bind(named, lambda n: F.when(F.contains(n, F.lit(stroke)), F.regexp_replace(n, drawing, f"$1>{mark}")).otherwise(n))
+
+    def full_texts(h: Column) -> Column:
+        marked = F.regexp_replace(h, r"(?is)<[^>]*a-truncate-full[^>]*>(.*?)</span>", f"{_FULL}$1{_FULL}")
+        return F.when(F.contains(h, F.lit("a-truncate-full")), marked).otherwise(h)
+
+    checked = bind(html, lambda h: icons(h, _YES, *CHECK_MARKS))
+    return bind(bind(checked, lambda h: icons(h, _NO, *CROSS_MARKS)), full_texts)
+
+
+def _cell_value(text: Column) -> Column:
+    """Check and cross icons read as Yes and No; of a shortened text the full form is taken."""
+    full = F.get(F.split(text, _FULL), F.lit(1))
+    return F.when(F.contains(text, F.lit(_YES)), "Yes").when(F.contains(text, F.lit(_NO)), "No").otherwise(
+        F.btrim(F.when(F.contains(text, F.lit(_FULL)), full).otherwise(text), F.lit(WHITESPACE))
+    )
 
 
 def _last_of_repeated(entries: Column) -> Column:
@@ -60,18 +75,17 @@ def harvest_specs(pages: DataFrame, drop: str = ":", heading: str | None = None)
     row and repeats are settled inside it, so nothing is shuffled.
     """
     def pairs(table: Column) -> Column:
-        split = F.filter(F.transform(rows_of(table["own"]), lambda c, r: F.struct(r.alias("r"), c.alias("c"))), lambda p: F.size(p["c"]) == 2)
         return F.transform(
-            split,
+            two_cell_rows(table["own"]),
             lambda p: F.struct(
                 F.when(table["top"] == 1, "specs").otherwise("features").alias("kind"),
-                normalize_label(plain_text(p["c"][0]), drop).alias("key"),
+                normalize_label(p["first"], drop).alias("key"),
                 (table["at"].cast("bigint") * (1 << 24) + p["r"]).alias("ord"),
-                bind(p["c"][1], _cell_value).alias("value"),
+                _cell_value(p["second"]).alias("value"),
             ),
         )
 
-    html = without_unseen(F.col("html"))
+    html = _marked(plain_blanks(without_unseen(F.col("html"))))
     if heading is not None:
         html = F.regexp_extract(html, rf"(?is)<h([1-6])\b[^>]*+>(?:(?!</h\1).)*?(?:{heading})(?:(?!</h\1).)*?</h\1>(.*+)", 2)
     kept = F.filter(
@@ -88,7 +102,7 @@ def harvest_bullets(pages: DataFrame) -> DataFrame:
     """
     section = F.get(F.split(without_unseen(F.col("html")), BULLETS_START), F.lit(1))
     first = F.get(F.split(section, r"(?i)<ul\b[^>]*+>", 2), F.lit(1))
-    items = bind(F.split(until_closed(first, "ul"), BULLET_ITEM), lambda i: F.slice(i, F.lit(2), F.greatest(F.size(i) - 1, F.lit(0))))
+    items = bind(F.split(until_closed(first, "ul"), BULLET_ITEM), lambda i: F.slice(i, F.lit(2), F.size(i)))
     texts = F.transform(items, lambda item, i: F.struct(
         F.lit("features").alias("kind"), F.concat(F.lit("feature_"), (i + 1).cast("string")).alias("key"), i.cast("bigint").alias("ord"),
         plain_text(until_closed(item, "span")).alias("value"),
