@@ -10,6 +10,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_type
 
 from shelfwise.llm.common import fresh, prepare_text, words_of
 
@@ -57,9 +58,9 @@ class WuManber:
             end += 1
 
 
-def compile_items(items: list[tuple[int, bytes]], window: int = WINDOW) -> list[WuManber]:
+def compile_items(items: list[tuple[object, bytes]], window: int = WINDOW) -> list[WuManber]:
     """One searcher for windows of `window` words, and one for each shorter length that an item has."""
-    by_length: dict[int, dict[Pattern, list[int]]] = {}
+    by_length: dict[int, dict[Pattern, list]] = {}
     for item, text in items:
         words = words_of(text)
         m = min(window, len(words))
@@ -84,10 +85,10 @@ def covered(spans: list[tuple[int, int]]) -> list[tuple[int, int]]:
 _compiled: dict[str, list[WuManber]] = {}
 
 
-def _item_blocks(benchmark: DataFrame, item_id: str, text: str) -> Iterator[list[tuple[int, bytes]]]:
-    """The benchmark in blocks of bounded size, one at a time. Items without an id or text are left out."""
+def _item_blocks(benchmark: DataFrame, item_id: str, text: str) -> Iterator[list[tuple[object, bytes]]]:
+    """The benchmark in blocks of bounded size, one at a time. Items without a text are left out."""
     block, size = [], 0
-    rows = benchmark.select(F.col(item_id).alias("id"), F.col(text).cast("binary").alias("text")).filter("id is not null and text is not null")
+    rows = benchmark.select(F.col(item_id).alias("id"), F.col(text).cast("binary").alias("text")).filter("text is not null")
     for row in rows.orderBy("id", "text").toLocalIterator():
         block.append((row.id, bytes(row.text)))
         size += len(row.text) + 64
@@ -98,14 +99,14 @@ def _item_blocks(benchmark: DataFrame, item_id: str, text: str) -> Iterator[list
         yield block
 
 
-def _search(df: DataFrame, text: str, hits: str, first: bool, items: list[tuple[int, bytes]], window: int) -> DataFrame:
+def _search(df: DataFrame, text: str, hits: str, first: bool, items: list[tuple[object, bytes]], id_type: T.DataType, window: int) -> DataFrame:
     """`df` with the column `hits`: spans of words and the items found, added to what earlier blocks found."""
     shared, key = df.sparkSession.sparkContext.broadcast(items), uuid.uuid4().hex
     kind = T.StructType([
-        T.StructField("spans", T.ArrayType(T.ArrayType(T.LongType()))), T.StructField("items", T.ArrayType(T.LongType())),
+        T.StructField("spans", T.ArrayType(T.ArrayType(T.LongType()))), T.StructField("items", T.ArrayType(id_type)),
     ])
     names = [c for c in df.columns if c != hits]
-    arrow = pa.struct([("spans", pa.list_(pa.list_(pa.int64()))), ("items", pa.list_(pa.int64()))])
+    arrow = pa.struct([("spans", pa.list_(pa.list_(pa.int64()))), ("items", pa.list_(to_arrow_type(id_type)))])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         if key not in _compiled:
@@ -127,7 +128,7 @@ def _search(df: DataFrame, text: str, hits: str, first: bool, items: list[tuple[
                         else:
                             spans.append((start, end))
                         found.update(owners)
-                out.append({"spans": covered(spans), "items": sorted(found)})
+                out.append({"spans": covered(spans), "items": sorted(found, key=lambda item: (item is None, item))})
             yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in names), pa.array(out, arrow)], names=[*names, hits])
 
     return df.select(*names, *([] if first else [hits])).mapInArrow(run, T.StructType([df.schema[c] for c in names] + [T.StructField(hits, kind)]))
@@ -142,26 +143,29 @@ def find_passages(
 
     A window is `window` consecutive words of an item; an item of fewer words, but not none, is one window. The
     benchmark is the query set: it passes in blocks of bounded size, each searched in every document, so neither
-    side is shuffled and no block grows with the input. Null and empty texts have no words and no hits; repeated
-    items count once under their id.
+    side is shuffled and no block grows with the input; the driver holds one block at a time. Ids may be of any type. Null
+    and empty texts have no words and no hits; repeated items count once under their id. Items without an id are found like
+    any other and are together one item of the id null.
     """
     prepare_text(docs.sparkSession)
-    blocks = list(_item_blocks(benchmark, item_id, item_text)) or [[]]
-    out = docs
-    for number, block in enumerate(blocks):
-        out = _search(out, text, hits, number == 0, block, window)
-    return out
+    out, id_type = docs, benchmark.schema[item_id].dataType
+    for number, block in enumerate(_item_blocks(benchmark, item_id, item_text)):
+        out = _search(out, text, hits, number == 0, block, id_type, window)
+    return _search(docs, text, hits, True, [], id_type, window) if out is docs else out
 
 
 def contamination(docs: DataFrame, benchmark: DataFrame, doc_id: str = "doc_id", text: str = "text", **how) -> DataFrame:
-    """One row per document: doc_id and the columns of `FIELDS`."""
+    """One row per document: doc_id and the columns of `FIELDS`.
+
+    An item of the id null counts in n_hit, n_items and contaminated; only items_sha256 cannot name it.
+    """
     found = find_passages(docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text")), benchmark, **how)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             hits = batch.column("hits").to_pylist()
             n_hit = [sum(end - start for start, end in h["spans"]) for h in hits]
-            digests = [hashlib.sha256(",".join(sorted(map(str, h["items"]))).encode()).hexdigest() for h in hits]
+            digests = [hashlib.sha256(",".join(sorted(str(i) for i in h["items"] if i is not None)).encode()).hexdigest() for h in hits]
             columns = [
                 batch.column("doc_id"),
                 pa.array([len(words_of(x or b"")) for x in batch.column("text").cast(pa.binary()).to_pylist()], pa.int64()),

@@ -87,7 +87,7 @@ def bpe_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
 @register(
     "op4_decontaminate",
     f"""
-with items as (select item_id, {WORDS_SQL.format(text='text')} as w from benchmark where item_id is not null),
+with items as (select item_id, {WORDS_SQL.format(text='text')} as w from benchmark),
 docs as (select doc_id, {WORDS_SQL.format(text='text')} as w from documents),
 windows as (
   select distinct item_id, m, array_to_string(w[s + 1 : s + m], ' ') as phrase
@@ -101,7 +101,7 @@ places as (
 hits as (select doc_id, s, m, item_id from places join windows using (m, phrase)),
 spots as (select doc_id, count(distinct p) as n_hit from (select doc_id, unnest(range(s, s + m)) as p from hits) group by doc_id),
 found as (
-  select doc_id, count(*) as n_items, string_agg(id, ',' order by id) as ids
+  select doc_id, count(*) as n_items, string_agg(id, ',' order by id) filter (where id is not null) as ids
   from (select distinct doc_id, item_id::varchar as id from hits) group by doc_id
 )
 select doc_id, len(w)::bigint as n_words, coalesce(n_hit, 0)::bigint as n_hit, coalesce(n_items, 0)::bigint as n_items,

@@ -22,7 +22,7 @@ def brute(docs, items, window=10):
                     if w[at : at + m] == p[s : s + m]:
                         hit |= set(range(at, at + m))
                         found.add(item)
-        ids = ",".join(sorted(map(str, found)))
+        ids = ",".join(sorted(str(x) for x in found if x is not None))
         out.append((i, len(w), len(hit), len(found), hashlib.sha256(ids.encode()).hexdigest(), bool(hit)))
     return sorted(out)
 
@@ -50,6 +50,17 @@ def test_blocks_of_items_give_the_same(spark, docs, monkeypatch):
     assert sorted(map(tuple, got.collect())) == brute(rows, items)
 
 
+def test_items_without_an_id_and_ids_of_any_type(spark, docs):
+    rows = [(1, "x y z q"), (2, "q r"), (3, "none")]
+    got = op.contamination(docs(rows), spark.createDataFrame([(None, "y z"), (None, "q"), (7, "q r")], "item_id long, text string"))
+    assert sorted(map(tuple, got.collect())) == brute(rows, [(None, "y z"), (None, "q"), (7, "q r")])
+    assert {r.doc_id: (r.n_hit, r.n_items) for r in got.collect()} == {1: (3, 1), 2: (2, 2), 3: (0, 0)}
+    named = [("b", "y z"), ("a", "y"), (None, "q")]
+    got = op.contamination(docs(rows), spark.createDataFrame(named, "item_id string, text string"))
+    assert sorted(map(tuple, got.collect())) == brute(rows, named)
+    assert op.drop_contaminated(docs(rows), spark.createDataFrame([(None, "y z")], "item_id long, text string")).count() == 2
+
+
 def test_no_items_and_no_documents(spark, docs):
     none = spark.createDataFrame([], "item_id long, text string")
     assert [r.contaminated for r in op.contamination(docs([(1, "a b")]), none).collect()] == [False]
