@@ -117,18 +117,21 @@ def _false_members(texts: DataFrame, members: DataFrame, groups: DataFrame, modu
     """(id, fp, n_bytes) of members whose text is not that of the row that would stay.
 
     Only rows of groups with several members are read in full. They meet the group's first text chunk by chunk,
-    in as many parts as the group has `COPIES_PER_SALT` rows; that text is repeated for each part.
+    in as many parts as the group has `COPIES_PER_SALT` rows; that text is repeated for each part. Rows are dealt to the
+    parts by their `key`, so rows of one id, or without one, are no hot part.
     """
     several = groups.filter("group_size > 1")
     wanted = members.join(several.select("fp", "n_bytes"), ["fp", "n_bytes"], "left_semi")
     seen = _prints(MaybeIn(wanted.select("id"), "id").keep(texts), "text", ["fp", "n_bytes", "sha"], modulus, None).drop("sha")
-    whole = seen.join(several, ["fp", "n_bytes"])
     parts = F.ceil(F.col("group_size") / COPIES_PER_SALT).cast("int")
-    is_first = F.col("id").eqNullSafe(F.col("keep_id"))
-    whole = whole.withColumn("parts", parts).withColumn("is_first", is_first).select("id", "text", "fp", "n_bytes", "is_first", "parts")
-    own = F.array(F.pmod(F.xxhash64("id"), F.col("parts")).cast("int"))
-    salts = F.when(F.col("is_first"), F.sequence(F.lit(0), F.col("parts") - 1)).otherwise(own)
-    rows = _chunk_rows(whole).withColumn("salt", F.explode(salts)).drop("parts")
+    whole = seen.join(several, ["fp", "n_bytes"]).withColumn("parts", parts)
+    columns = ["id", "text", "fp", "n_bytes", "is_first", "salts"]
+    # One model a group, however many rows have the id of the one that stays; every row is compared with it once.
+    models = whole.filter(F.col("id").eqNullSafe(F.col("keep_id"))).groupBy("fp", "n_bytes", "parts").agg(F.first("id").alias("id"), F.min("text").alias("text"))
+    models = models.withColumn("is_first", F.lit(True)).withColumn("salts", F.sequence(F.lit(0), F.col("parts") - 1)).select(columns)
+    others = whole.withColumn("is_first", F.lit(False)).withColumn("salts", F.array(F.pmod("key", "parts").cast("int"))).select(columns)
+    whole = models.unionByName(others)
+    rows = _chunk_rows(whole).withColumn("salt", F.explode("salts")).drop("salts")
     placed = rows.repartition("fp", "n_bytes", "chunk_no", "salt").sortWithinPartitions("fp", "n_bytes", "chunk_no", "salt", F.desc("is_first"))
     return placed.mapInArrow(_differing, T.StructType([placed.schema[c] for c in ("id", "fp", "n_bytes")])).distinct()
 
@@ -141,7 +144,7 @@ def group_copies(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", mo
     repeated rows with one id the first read stays.
     """
     prepare_text(docs.sparkSession)
-    texts = docs.select(F.col(doc_id).alias("id"), F.col(text).alias("text"))
+    texts = docs.select(F.col(doc_id).alias("id"), F.col(text).alias("text"), F.monotonically_increasing_id().alias("key"))
     printed = _prints(texts, "text", ["fp", "n_bytes", "sha"], modulus, ["id"])
     left = stored(printed.withColumn("row", F.monotonically_increasing_id()), "copies-prints")
     done_members, done_groups, class_no = [], [], 0

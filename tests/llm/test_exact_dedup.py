@@ -40,6 +40,19 @@ def test_repeated_rows_and_null_ids(docs):
     assert sum(r.kept for r in got) == 2
 
 
+def test_very_many_rows_of_one_id_meet_one_model_each(spark, docs, monkeypatch):
+    monkeypatch.setattr(op, "COPIES_PER_SALT", 4)
+    rows = [(None, "same text")] * 3000 + [(4, "same  text")] * 500 + [(9, "other")] * 500 + [(None, "other")] * 10
+    made = []
+    monkeypatch.setattr(op, "_chunk_rows", lambda df, f=op._chunk_rows: made.append(f(df)) or made[-1])
+    got = op.exact_duplicates(docs(rows)).collect()
+    assert len(got) == 4010 and sum(r.kept for r in got) == 2
+    assert {(r.keep_id, r.group_size) for r in got} == {(4, 3500), (9, 510)}
+    # A row each, and a model for each part of a group: no square of a group's size.
+    assert made[0].count() == 4012
+    assert made[0].selectExpr("sum(size(salts))").first()[0] <= 4010 + 4010 / 4 + 2
+
+
 def test_empty_table(docs):
     assert op.exact_duplicates(docs([])).count() == 0 and op.drop_copies(docs([])).count() == 0
 
