@@ -125,12 +125,10 @@ def _false_members(texts: DataFrame, members: DataFrame, groups: DataFrame, modu
     seen = _prints(MaybeIn(wanted.select("id"), "id").keep(texts), "text", ["fp", "n_bytes", "sha"], modulus, None).drop("sha")
     parts = F.ceil(F.col("group_size") / COPIES_PER_SALT).cast("int")
     whole = seen.join(several, ["fp", "n_bytes"]).withColumn("parts", parts)
-    columns = ["id", "text", "fp", "n_bytes", "is_first", "salts"]
-    # One model a group, however many rows have the id of the one that stays; every row is compared with it once.
-    models = whole.filter(F.col("id").eqNullSafe(F.col("keep_id"))).groupBy("fp", "n_bytes", "parts").agg(F.first("id").alias("id"), F.min("text").alias("text"))
-    models = models.withColumn("is_first", F.lit(True)).withColumn("salts", F.sequence(F.lit(0), F.col("parts") - 1)).select(columns)
-    others = whole.withColumn("is_first", F.lit(False)).withColumn("salts", F.array(F.pmod("key", "parts").cast("int"))).select(columns)
-    whole = models.unionByName(others)
+    # One model a group, however many rows have the id of the one that stays.
+    is_first = F.col("key") == F.col("keep_key")
+    salts = F.when(is_first, F.sequence(F.lit(0), F.col("parts") - 1)).otherwise(F.array(F.pmod("key", "parts").cast("int")))
+    whole = whole.select("id", "text", "fp", "n_bytes", is_first.alias("is_first"), salts.alias("salts"))
     rows = _chunk_rows(whole).withColumn("salt", F.explode("salts")).drop("salts")
     placed = rows.repartition("fp", "n_bytes", "chunk_no", "salt").sortWithinPartitions("fp", "n_bytes", "chunk_no", "salt", F.desc("is_first"))
     return placed.mapInArrow(_differing, T.StructType([placed.schema[c] for c in ("id", "fp", "n_bytes")])).distinct()
@@ -145,13 +143,14 @@ def group_copies(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", mo
     """
     prepare_text(docs.sparkSession)
     texts = docs.select(F.col(doc_id).alias("id"), F.col(text).alias("text"), F.monotonically_increasing_id().alias("key"))
-    printed = _prints(texts, "text", ["fp", "n_bytes", "sha"], modulus, ["id"])
+    printed = _prints(texts, "text", ["fp", "n_bytes", "sha"], modulus, ["id", "key"])
     left = stored(printed.withColumn("row", F.monotonically_increasing_id()), "copies-prints")
     done_members, done_groups, class_no = [], [], 0
     while True:
-        first = F.min(F.struct(F.col("id").isNull().alias("last"), "id", "row")).alias("first")
+        first = F.min(F.struct(F.col("id").isNull().alias("last"), "id", "row", "key")).alias("first")
         groups = stored(left.groupBy("fp", "n_bytes").agg(first, F.count("*").alias("group_size")), f"copies-groups-{class_no}")
-        groups = groups.select("fp", "n_bytes", F.col("first.id").alias("keep_id"), F.col("first.row").alias("keep_row"), "group_size")
+        keep = [F.col(f"first.{c}").alias(f"keep_{c}") for c in ("id", "row", "key")]
+        groups = groups.select("fp", "n_bytes", *keep, "group_size")
         false = stored(_false_members(texts, left, groups, modulus), f"copies-false-{class_no}")
         if false.isEmpty():
             done_members.append(left.withColumn("class_no", F.lit(class_no)))
