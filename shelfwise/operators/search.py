@@ -8,6 +8,7 @@ from dataclasses import dataclass, field
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from shelfwise.functions.arrays import bind, differences, running_sum
 from shelfwise.functions.ranks import join_on, percentiles, ranked_values
 from shelfwise.rules import CAPACITY_TIERS, INTENT_WORDS, PRICE_INTENTS, SCORE_TIERS, SIZE_INTENTS
 
@@ -27,9 +28,16 @@ def search_text(products: DataFrame) -> Column:
     return F.concat_ws(" ", *parts, *[flat(c) for c in ("specs", "features") if c in products.columns])
 
 
-def build_index(products: DataFrame, text: Column | None = None) -> DataFrame:
-    """Term table (category_id, product_id, term, tf). A product is one row: its terms are counted inside it."""
+def build_index(products: DataFrame, text: Column | None = None, positions: bool = False) -> DataFrame:
+    """Term table (category_id, product_id, term, tf). A product is one row: its terms are counted inside it.
+
+    With `positions` also the places of the term among the product's terms, each as its distance from the one before.
+    """
     text = search_text(products) if text is None else text
+    if positions:
+        tokens = F.transform(terms_of(text), lambda t, i: F.struct(t.alias("term"), i.alias("position"), F.lit(1.0).alias("weight")))
+        found = products.select("category_id", "product_id", F.inline(postings_of(tokens)))
+        return found.select("category_id", "product_id", "term", F.size("positions").cast("bigint").alias("tf"), "positions")
     sorted_terms = products.select("category_id", "product_id", F.array_sort(terms_of(text)).alias("_terms")).where(F.size("_terms") > 0)
     terms, n = F.col("_terms"), F.size("_terms")
     starts = F.filter(F.sequence(F.lit(0), n - 1), lambda i: (i == 0) | (F.get(terms, i) != F.get(terms, i - 1)))
@@ -39,6 +47,25 @@ def build_index(products: DataFrame, text: Column | None = None) -> DataFrame:
     return runs.select("category_id", "product_id", F.inline(counted))
 
 
+def postings_of(tokens: Column) -> Column:
+    """Of tokens (term, position, weight): one struct a term, with the sum of its weights and its positions as distances."""
+    def runs(sorted_tokens: Column) -> Column:
+        n = F.size(sorted_tokens)
+        places = F.filter(
+            F.transform(sorted_tokens, lambda t, i: F.when((i == 0) | (t["term"] != F.get(sorted_tokens, i - 1)["term"]), i)), lambda i: i.isNotNull()
+        )
+
+        def posting(run: Column) -> Column:
+            return F.struct(
+                F.get(run, 0)["term"].alias("term"), F.aggregate(run, F.lit(0.0), lambda s, t: s + t["weight"]).alias("weight"),
+                differences(F.transform(run, lambda t: t["position"])).alias("positions"),
+            )
+
+        return bind(places, lambda at: F.transform(at, lambda i, k: bind(F.slice(sorted_tokens, i + 1, F.coalesce(F.get(at, k + 1), n) - i), posting)))
+
+    return bind(F.array_sort(tokens), runs)
+
+
 def write_index(index: DataFrame, path: str) -> None:
     """Store the term table by category, sorted by term, so that a search reads few row groups of one category.
 
@@ -49,8 +76,17 @@ def write_index(index: DataFrame, path: str) -> None:
 
 
 def read_index(spark: SparkSession, path: str) -> DataFrame:
-    """A stored term table. Conditions on category and term reach the files."""
-    return spark.read.schema("product_id bigint, term string, tf bigint, category_id bigint").parquet(path)
+    """A stored term table. Conditions on category and term reach the files; positions are there if they were stored."""
+    return spark.read.schema("product_id bigint, term string, tf bigint, positions array<int>, category_id bigint").parquet(path)
+
+
+def stand_in_order(positions: list[tuple[Column, int]]) -> Column:
+    """Does some place have every word at its offset? Pairs of a word's stored positions and its offset in the phrase."""
+    starts = [F.transform(running_sum(p), lambda at, by=by: at - by) for p, by in positions]
+    common = starts[0]
+    for more in starts[1:]:
+        common = F.array_intersect(common, more)
+    return F.coalesce(F.size(common) > 0, F.lit(False))
 
 
 @dataclass
@@ -88,19 +124,29 @@ def match_text(products: DataFrame, index: DataFrame, query: str, text: Column |
     """Products that satisfy the query, with `text_score` in 0..1.
 
     The score is the mean of tf / (tf + 1) over the query's words. Only index rows of those words
-    are read, and they are grouped to at most one row per product before the join.
+    are read, and they are grouped to at most one row per product before the join. Phrases come from the
+    index's positions; only an index without them needs the products' text.
     """
     clauses = query_clauses(query)
     wanted = sorted({t for c in clauses for t in c.required})
-    known = sorted({t for c in clauses for t in c.required + c.excluded})
     has_phrases = any(c.phrases or c.excluded_phrases for c in clauses)
-    text = text if text is not None else (search_text(products) if has_phrases else None)
+    placed = has_phrases and text is None and "positions" in index.columns
+    in_phrases = {t for c in clauses for words in c.phrases + c.excluded_phrases for t in words} if placed else set()
+    known = sorted({t for c in clauses for t in c.required + c.excluded} | in_phrases)
+    text = text if text is not None or placed else (search_text(products) if has_phrases else None)
     saturation = F.when(F.col("term").isin(wanted), F.col("tf") / (F.col("tf") + 1.0))
     hits = (
         index.where(F.col("term").isin(known))
         .groupBy("product_id")
-        .agg(F.collect_set("term").alias("_terms"), (F.coalesce(F.sum(saturation), F.lit(0.0)) / max(len(wanted), 1)).alias("text_score"))
+        .agg(
+            F.collect_set("term").alias("_terms"), (F.coalesce(F.sum(saturation), F.lit(0.0)) / max(len(wanted), 1)).alias("text_score"),
+            *[F.max(F.when(F.col("term") == t, F.col("positions"))).alias(f"_at_{t}") for t in sorted(in_phrases)],
+        )
     )
+
+    def phrase(words: list[str]) -> Column:
+        return stand_in_order([(F.col(f"_at_{t}"), i) for i, t in enumerate(words)]) if placed else text.rlike(_phrase(words))
+
     accepted = F.lit(False)
     for c in clauses:
         holds = F.lit(True)
@@ -109,15 +155,15 @@ def match_text(products: DataFrame, index: DataFrame, query: str, text: Column |
         for t in c.excluded:
             holds = holds & ~F.array_contains("_terms", t)
         for words in c.phrases:
-            holds = holds & text.rlike(_phrase(words))
+            holds = holds & phrase(words)
         for words in c.excluded_phrases:
-            holds = holds & ~text.rlike(_phrase(words))
+            holds = holds & ~phrase(words)
         accepted = accepted | holds
     needs_all = any(not c.required for c in clauses)
     joined = products.join(hits, "product_id", "left" if needs_all else "inner")
     if needs_all:
         joined = joined.withColumn("_terms", F.coalesce("_terms", F.array().cast("array<string>")))
-    return joined.where(accepted).withColumn("text_score", F.coalesce("text_score", F.lit(0.0))).drop("_terms")
+    return joined.where(accepted).withColumn("text_score", F.coalesce("text_score", F.lit(0.0))).drop("_terms", *[f"_at_{t}" for t in in_phrases])
 
 
 # --- smart search -------------------------------------------------------------------------------

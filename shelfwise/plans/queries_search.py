@@ -48,7 +48,7 @@ def stored_index(v):
     key = (v.spark.sparkContext.applicationId, v.sf_dir)
     if key not in _stored:
         _stored[key] = new_shared_path(v.spark, "index")
-        sc.write_index(sc.build_index(catalog(v)), _stored[key])
+        sc.write_index(sc.build_index(catalog(v), positions=True), _stored[key])
     return sc.read_index(v.spark, _stored[key])
 
 

@@ -8,13 +8,14 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from shelfwise.functions.arrays import bind
 from shelfwise.functions.text import WHITESPACE, extract_or_null, normalize_label, plain_blanks, strip
 from shelfwise.operators.links import host_of
 from shelfwise.rules import (
     ACCORDION_ROW, ACCORDION_SECTION, ACCORDION_TITLE, BULLET_ITEM, BULLET_LONGER_THAN, BULLETS_START, CHECK_MARKS, CROSS_MARKS,
 )
 from shelfwise.schemas import EAV_COLUMNS
-from shelfwise.sources.markup import bind, plain_text, tables_of, two_cell_rows, until_closed, without_unseen
+from shelfwise.sources.markup import plain_text, tables_of, two_cell_rows, until_closed, without_unseen
 
 
 # Marks that the values of icons and full texts leave in a page's text; `plain_blanks` has taken them out before.

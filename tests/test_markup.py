@@ -5,6 +5,7 @@ from html import unescape
 import pytest
 from pyspark.sql import functions as F
 
+from shelfwise.functions.arrays import running_depth
 from shelfwise.sources import harvest as hv
 from shelfwise.sources import markup as mk
 
@@ -25,7 +26,7 @@ def test_depth_is_a_running_sum_that_never_falls_below(spark):
             out.append(depth)
         return out
 
-    assert column(spark, steps, mk.running_depth(F.col("v")), "v array<struct<add:int,least:int>>") == [brute(s) for s in steps]
+    assert column(spark, steps, running_depth(F.col("v")), "v array<struct<add:int,least:int>>") == [brute(s) for s in steps]
 
 
 def tree(html):
