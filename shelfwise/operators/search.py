@@ -82,7 +82,10 @@ def read_index(spark: SparkSession, path: str) -> DataFrame:
 
 def stand_in_order(positions: list[tuple[Column, int]]) -> Column:
     """Does some place have every word at its offset? Pairs of a word's stored positions and its offset in the phrase."""
-    starts = [F.transform(running_sum(p), lambda at, by=by: at - by) for p, by in positions]
+    def start(stored: Column, offset: int) -> Column:
+        return F.transform(running_sum(stored), lambda at: at - offset)
+
+    starts = [start(p, offset) for p, offset in positions]
     common = starts[0]
     for more in starts[1:]:
         common = F.array_intersect(common, more)

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from shelfwise.operators import ranked_search as rs
 from shelfwise.operators import search as sc
 from shelfwise.plans.queries_attributes import quoted
 from shelfwise.plans.registry import REGISTRY
@@ -111,6 +112,104 @@ def _(v):
     return sc.match_text(catalog(v), stored_index(v), 'black -"smart yes"').select("product_id")
 
 
+# Published stems of the words of the test catalog that change, and those of its words that are stop words.
+STEMS = "('autodose', 'autodos'), ('capacity', 'capac'), ('energy', 'energi'), ('key', 'kei'), ('large', 'larg'), ('litres', 'litr'), ('programmes', 'programm'), ('rating', 'rate'), ('supply', 'suppli'), ('value', 'valu'), ('yes', 'ye')"
+STOPS = "'a', 'no', 'to'"
+# Tokens of the fields in their order, with weights, stems and places.
+ENGLISH = f"""
+field as (
+  select product_id, category_id, 0 as f, 1.0::double as w, name as text from fx_product
+  union all select product_id, category_id, 1, 0.4::double, brand from fx_product
+  union all select product_id, category_id, 2, 0.4::double, 'MX' || cast(product_id as varchar) from fx_product
+  union all select s.product_id, category_id, case kind when 'specs' then 3 else 4 end, case kind when 'specs' then 0.2::double else 0.1::double end,
+                   string_agg(s.key || ' ' || s.value, ' ' order by ord) from fx_spec s join fx_product p on p.product_id = s.product_id group by all
+),
+split as (select product_id, category_id, f, w, list_filter(string_split_regex(lower(text), '[^\p{{L}}\p{{N}}]+'), lambda t: t <> '') as ts from field),
+token as (select product_id, category_id, f, w, unnest(ts) as word, unnest(range(len(ts))) as i from split),
+placed as (select product_id, category_id, w, word, row_number() over (partition by product_id order by f, i) - 1 as position from token),
+stemmed as (select product_id, category_id, w, coalesce(s.stem, word) as term, position from placed left join (values {STEMS}) s(word, stem) using (word) where word not in ({STOPS})),
+post as (select category_id, product_id, term, sum(w) as weight, list(position order by position) as positions from stemmed group by all)"""
+
+
+@REGISTRY.add("K01_english_index", f"""
+with {ENGLISH}
+select category_id, product_id, term, round(weight, 6) as weight,
+       array_to_string(list_transform(range(len(positions)), lambda i: positions[i + 1] - case when i = 0 then 0 else positions[i] end), ',') as positions
+from post""")
+def _(v):
+    index = rs.english_index(catalog(v))
+    return index.withColumns({"weight": F.round("weight", 6), "positions": F.array_join(F.col("positions").cast("array<string>"), ",")})
+
+
+@REGISTRY.add("K01_stems", """
+select p_partkey as product_id, p.word, p.stem
+from part join (values (0, 'relational', 'relat'), (1, 'hopping', 'hop'), (2, 'electriciti', 'electr'), (3, 'adjustment', 'adjust'), (4, 'ponies', 'poni'),
+  (5, 'controlling', 'control'), (6, 'sky', 'sky'), (7, 'filing', 'file'), (8, 'oscillators', 'oscil'), (9, 'generalizations', 'gener'), (10, 'agreed', 'agre'),
+  (11, 'caresses', 'caress'), (12, 'vietnamization', 'vietnam')) p(k, word, stem) on p.k = p_partkey % 13""")
+def _(v):
+    words = ["relational", "hopping", "electriciti", "adjustment", "ponies", "controlling", "sky", "filing", "oscillators", "generalizations", "agreed", "caresses", "vietnamization"]
+    word = F.get(F.array(*[F.lit(w) for w in words]), (F.col("p_partkey") % 13).cast("int"))
+    return v.part.select(F.col("p_partkey").alias("product_id"), word.alias("word")).withColumn("stem", rs.english.stem(F.col("word")))
+
+
+_ranked: dict[tuple[str, str], str] = {}
+
+
+def ranked_index(v):
+    """The ranked index of this catalog, stored once a session and read from there."""
+    key = (v.spark.sparkContext.applicationId, v.sf_dir)
+    if key not in _ranked:
+        _ranked[key] = new_shared_path(v.spark, "ranked")
+        rs.write_ranked_index(catalog(v), _ranked[key], block_rows=64)
+    return rs.read_ranked_index(v.spark, _ranked[key])
+
+
+def _ranked_sql(accepted: str, wanted: list[str], where: str, points: str = "0") -> str:
+    terms = ", ".join(f"'{t}'" for t in wanted)
+    relevance = f"coalesce(ts, 0) * 40 + {points} + coalesce(score / 10, 0)"
+    return f"""
+with {ENGLISH},
+hit as (select product_id, list(term) as terms, coalesce(sum(weight / (weight + 1)) filter (where term in ({terms})), 0) / {max(len(wanted), 1)} as ts,
+               map_from_entries(list((term, positions))) as places from post group by product_id)
+select p.product_id, category_id, brand, price, score, round({relevance}, 6) as relevance_score
+from fx_product p join hit h on h.product_id = p.product_id where {where} and ({accepted})
+order by round({relevance}, 9) desc, score desc nulls last, p.product_id limit 200"""
+
+
+def ranked(df):
+    return df.select("product_id", "category_id", "brand", "price", "score", F.round("relevance_score", 6).alias("relevance_score"))
+
+
+@REGISTRY.add("K02_block_search", _ranked_sql(
+    "list_contains(terms, 'ye') and list_contains(terms, 'capac')", ["capac", "ye"], "category_id = 2 and price between 905 and 1500", "30"))
+def _(v):
+    """`the`, being a stop word, asks for nothing; the other words are found by their stems."""
+    return ranked(rs.ranked_search(ranked_index(v), 2, "the capacities yes", 905.0, 1500.0))
+
+
+@REGISTRY.add("K02_block_soft_price", _ranked_sql(
+    "list_contains(terms, 'black') or (list_contains(terms, 'autodos') and not list_contains(terms, 'silver'))", ["autodos", "black"],
+    "category_id = 3 and brand in ('Brand#1', 'Brand#2', 'Brand#3', 'Brand#12', 'Brand#20')",
+    "20 + case when price between 920 and 950 then 30 when price < 920 then greatest(0, 30 - (920 - price) / 50) else greatest(0, 30 - (price - 950) / 50) end"))
+def _(v):
+    brands = ["Brand#1", "Brand#2", "Brand#3", "Brand#12", "Brand#20"]
+    return ranked(rs.ranked_search(ranked_index(v), 3, "black or autodosing -silver", 920.0, 950.0, brands, soft_price=True))
+
+
+@REGISTRY.add("K03_english_phrase", _ranked_sql(
+    "list_contains(terms, 'rate') and list_contains(terms, 'energi') and list_contains(terms, 'g') and "
+    "len(list_filter(places['energi'], lambda p: list_contains(places['rate'], p + 1) and list_contains(places['g'], p + 4))) > 0",
+    ["energi", "g", "rate"], "category_id = 4"))
+def _(v):
+    """Words of a phrase stand at their distance; the stop words between them may be any."""
+    return ranked(rs.ranked_search(ranked_index(v), 4, '"energy ratings a to g"'))
+
+
+@REGISTRY.add("K03_english_exclusion", _ranked_sql("not list_contains(terms, 'silver')", [], "category_id = 1"))
+def _(v):
+    return ranked(rs.ranked_search(ranked_index(v), 1, "-silver"))
+
+
 # Every 29th product has no price, and category 5 no brand.
 SOME_MISSING = "case when product_id % 29 = 0 then null else price end as price, case when category_id = 5 then null else brand end as brand"
 
