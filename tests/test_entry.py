@@ -12,8 +12,8 @@ SMALL = "/root/testdata/sf0.001"
 PYTHON_QUERIES = {"D03_similar_keys"}
 # These run jobs of their own while they are built.
 EAGER = {
-    "A01_read_catalog", "A01_reviews_and_rejects", "A02_stage_round_trip", "C16_standardize", "C16_stored_rules", "X01_metrics_stream",
-    "X02_standardize_stream",
+    "A01_read_catalog", "A01_reviews_and_rejects", "A02_stage_round_trip", "C16_standardize", "C16_stored_rules", "K02_block_search",
+    "K02_block_soft_price", "K03_english_exclusion", "K03_english_phrase", "X01_metrics_stream", "X02_standardize_stream",
 }
 
 
