@@ -13,7 +13,7 @@ def bind(c: Column, use: Callable[[Column], Column]) -> Column:
     return F.transform(F.array(c), use)[0]
 
 
-def running_depth(steps: Column) -> Column:
+def running_depth(steps: Column, kind: str = "int") -> Column:
     """Depths behind each step from 0, every step (add, least) taking depth d to max(d + add, least).
 
     Steps are put together in blocks of about the square root of their number, as max(d + a, b) of max(d + c, e) is one
@@ -23,7 +23,7 @@ def running_depth(steps: Column) -> Column:
         return F.greatest(d + s["add"], s["least"])
 
     def walk(start: Column, part: Column) -> Column:
-        first = F.array(start.cast("int"))
+        first = F.array(start.cast(kind))
         return F.slice(F.aggregate(part, first, lambda done, s: F.concat(done, F.array(after(F.element_at(done, -1), s)))), F.lit(2), F.size(part))
 
     def blocks(s: Column) -> Column:
@@ -31,7 +31,7 @@ def running_depth(steps: Column) -> Column:
         return F.transform(F.sequence(F.lit(0), F.floor((F.size(s) - 1) / width).cast("int")), lambda b: F.slice(s, b * width + 1, width))
 
     def joined(part: Column) -> Column:
-        start = F.struct(F.lit(0).alias("add"), F.lit(0).alias("least"))
+        start = F.struct(F.lit(0).cast(kind).alias("add"), F.lit(0).cast(kind).alias("least"))
         return F.aggregate(
             part, start, lambda a, s: F.struct((a["add"] + s["add"]).alias("add"), F.greatest(a["least"] + s["add"], s["least"]).alias("least"))
         )
@@ -40,13 +40,13 @@ def running_depth(steps: Column) -> Column:
         starts = walk(F.lit(0), F.transform(parts, joined))
         return F.flatten(F.transform(parts, lambda part, b: walk(F.when(b == 0, 0).otherwise(F.get(starts, b - 1)), part)))
 
-    none = F.array().cast("array<int>")
+    none = F.array().cast(f"array<{kind}>")
     return bind(steps, lambda s: F.when(F.size(s) == 0, none).otherwise(bind(blocks(s), walked)))
 
 
-def running_sum(numbers: Column) -> Column:
+def running_sum(numbers: Column, kind: str = "int") -> Column:
     """Sums of non-negative numbers up to each place."""
-    return running_depth(F.transform(numbers, lambda n: F.struct(n.alias("add"), F.lit(0).alias("least"))))
+    return running_depth(F.transform(numbers, lambda n: F.struct(n.cast(kind).alias("add"), F.lit(0).cast(kind).alias("least"))), kind)
 
 
 def differences(numbers: Column) -> Column:

@@ -5,8 +5,13 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from shelfwise.functions.arrays import running_sum
 from shelfwise.rules import PRICE_FORMS, PRICE_NUMBER_LITERAL, PRICE_NUMBER_STRICT
 
+# Distinct prices of one product that one task may sort, and width in pounds of the ranges into which more are split.
+PRICES_A_TASK = 4_096
+RANGE_WIDTH = 16.0
+
 
 def extract_prices(pages: DataFrame, id_column: str = "doc_id", strict: bool = True) -> DataFrame:
     """Prices mentioned in `text`, in pattern order then position; only 1 to 10,000 pounds count.
@@ -36,14 +41,21 @@ def _median(price: Column, cumulative: Column, total: Column, over) -> Column:
     ) / 2
 
 
-def consensus_price(offers: DataFrame, gap: float = 5.0) -> DataFrame:
+def consensus_price(offers: DataFrame, gap: float = 5.0, prices_a_task: int = PRICES_A_TASK, width: float = RANGE_WIDTH) -> DataFrame:
     """Fair price per product: median of the largest price cluster after dropping outliers.
 
-    Offers are first counted per product and price, so a product with very many offers still brings
-    at most one row per distinct price to its window; prices lie between 1 and 10,000 pounds in
-    pence, which bounds that number. All windows share one partitioning by product.
+    Offers are first counted per product and price. Products of up to `prices_a_task` distinct prices share one
+    partitioning by product. Those of more are split into ranges of `width` pounds, so that a product of any size is
+    the work of many tasks; both ways give the same result.
     """
     counted = offers.groupBy("product_id", "price").agg(F.count("*").alias("n"))
+    large = counted.groupBy("product_id").agg(F.count("*").alias("_prices")).where(F.col("_prices") > prices_a_task).select("product_id")
+    whole = _consensus_of_whole(counted.join(large, "product_id", "left_anti"), gap)
+    return whole.unionByName(_consensus_of_split(counted.join(large, "product_id", "left_semi"), gap, width))
+
+
+def _consensus_of_whole(counted: DataFrame, gap: float) -> DataFrame:
+    """Consensus by windows over each product's distinct prices."""
     all_rows = Window.partitionBy("product_id")
     by_price = all_rows.orderBy("price")
     running = by_price.rowsBetween(Window.unboundedPreceding, Window.currentRow)
@@ -78,6 +90,68 @@ def consensus_price(offers: DataFrame, gap: float = 5.0) -> DataFrame:
     )
 
 
+def _middle(low_to_high: DataFrame, n: str, before: str = "_before") -> DataFrame:
+    """(product_id, `n`, _median) of weighted rows that know how many rows lie before them."""
+    total = F.col(n)
+    reached = F.col(before) + F.col("n")
+    low, high = F.floor((total + 1) / 2), F.floor(total / 2) + 1
+    pair = F.min(F.when(reached >= low, F.col("price"))) + F.min(F.when(reached >= high, F.col("price")))
+    return low_to_high.groupBy("product_id").agg(F.first(n).alias(n), (pair / 2).alias("_median"))
+
+
+def _ranged(counted: DataFrame, gap: float, total: str) -> DataFrame:
+    """Rows with `_before`, `_cluster` and the product's number of offers, by ranges of prices.
+
+    Inside a range, rows are added up and a cluster begins behind a gap. The ranges of a product, a bounded array of
+    sums, then tell each range how many offers and clusters lie before it and which price ended the one before: a
+    cluster goes on over the border if that price is near.
+    """
+    inside = Window.partitionBy("product_id", "_range").orderBy("price")
+    earlier = inside.rowsBetween(Window.unboundedPreceding, -1)
+    local = counted.withColumns({
+        "_inside": F.coalesce(F.sum("n").over(earlier), F.lit(0)),
+        "_jump": F.coalesce((F.col("price") - F.lag("price").over(inside) > gap).cast("int"), F.lit(0)),
+    }).withColumn("_jumps", F.sum("_jump").over(inside))
+    sums = local.groupBy("product_id", "_range").agg(
+        F.sum("n").alias("n"), F.sum("_jump").alias("jumps"), F.min("price").alias("low"), F.max("price").alias("high")
+    )
+    listed = sums.groupBy("product_id").agg(F.array_sort(F.collect_list(F.struct("_range", "n", "jumps", "low", "high"))).alias("ranges"))
+    ranges = F.col("ranges")
+    # A range whose lowest price is far above the range before begins a cluster of its own.
+    begins = F.transform(ranges, lambda r, i: (r["low"] - F.get(ranges, i - 1)["high"] > gap).cast("int"))
+    begun = listed.withColumn("_begins", F.transform(begins, lambda b: F.coalesce(b, F.lit(0)))).withColumns({
+        "_n": F.aggregate(ranges, F.lit(0).cast("bigint"), lambda s, r: s + r["n"]),
+        "_sums": running_sum(F.transform(ranges, lambda r: r["n"]), "bigint"),
+        "_clusters": running_sum(F.transform(ranges, lambda r, i: r["jumps"] + F.get(F.col("_begins"), i)), "bigint"),
+    })
+    offsets = F.transform(ranges, lambda r, i: F.struct(
+        r["_range"].alias("_range"), (F.get(F.col("_sums"), i) - r["n"]).alias("_offset"),
+        (F.get(F.col("_clusters"), i) - r["jumps"]).alias("_first"),
+    ))
+    places = begun.select("product_id", F.col("_n").alias(total), F.inline(offsets))
+    return local.join(places, ["product_id", "_range"]).select(
+        "product_id", "price", "n", "_range", total, (F.col("_offset") + F.col("_inside")).alias("_before"), (F.col("_first") + F.col("_jumps")).alias("_cluster")
+    )
+
+
+def _consensus_of_split(counted: DataFrame, gap: float, width: float) -> DataFrame:
+    """Consensus of products of any number of distinct prices: no step sorts a whole product."""
+    placed = counted.withColumn("_range", F.floor(F.col("price") / width))
+    first = _middle(_ranged(placed, gap, "n_offers"), "n_offers")
+    near = placed.join(first, "product_id").where(F.col("price").between(F.col("_median") * 0.5, F.col("_median") * 2.0))
+    kept = _ranged(near.select(placed.columns), gap, "n_kept")
+    clusters = kept.groupBy("product_id", "_cluster").agg(F.sum("n").alias("_size"), F.min("_before").alias("_start"))
+    best = clusters.groupBy("product_id").agg(F.max_by(F.struct("_cluster", "_size", "_start"), F.struct("_size", -F.col("_cluster"))).alias("_best"))
+    best = best.select("product_id", "_best.*")
+    mode = _middle(kept.join(best, ["product_id", "_cluster"]).withColumn("_place", F.col("_before") - F.col("_start")), "_size", "_place")
+    decided = F.when((F.col("n_kept") >= 3) & (F.col("_size") >= 2), F.col("_mode")).otherwise(F.col("_median"))
+    return (
+        first.select("product_id", "n_offers").join(_middle(kept, "n_kept"), "product_id")
+        .join(mode.withColumnRenamed("_median", "_mode"), "product_id")
+        .select("product_id", "n_offers", "n_kept", F.when(F.col("n_offers") >= 2, decided).alias("target_price"))
+    )
+
+
 def in_range(price: Column, target: Column, tolerance_percent: float = 20.0) -> Column:
     return price.between(target * (1 - tolerance_percent / 100), target * (1 + tolerance_percent / 100))
 

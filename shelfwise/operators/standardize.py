@@ -194,8 +194,12 @@ def coverage_stats(eav: DataFrame, n_products: Column, percent: float = 10.0) ->
 
 
 def normalize_values(eav: DataFrame, value_map: DataFrame) -> DataFrame:
-    """Replace values by (key, value) -> normalized; adds `changed`."""
-    return eav.join(value_map.select("key", "value", "normalized"), ["key", "value"], "left").select(
+    """Replace values by (key, value) -> normalized; adds `changed`.
+
+    A map that names a pair more than once gives the pair's smallest text, so an attribute never becomes two.
+    """
+    once = value_map.groupBy("key", "value").agg(F.min("normalized").alias("normalized"))
+    return eav.join(once, ["key", "value"], "left").select(
         "product_id", "kind", "ord", "key",
         F.coalesce("normalized", "value").alias("value"),
         (F.coalesce("normalized", "value") != F.col("value")).alias("changed"),

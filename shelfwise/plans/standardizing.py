@@ -65,15 +65,23 @@ MAP_SCHEMA = """merges map<string,string>, deletions array<string>, unit_extract
 
 
 def read_rules(spark: SparkSession, path: str) -> StoredRules:
-    """Rules of a stored unification map, one JSON document or a folder of them; parts that are missing hold no rules."""
-    maps = spark.read.schema(MAP_SCHEMA).json(path, multiLine=True, mode="FAILFAST")
+    """Rules of a stored unification map, one JSON document or a folder of them; parts that are missing hold no rules.
+
+    Where documents disagree on an alias or on a key's units, the document whose file name sorts last decides.
+    """
+    maps = spark.read.schema(MAP_SCHEMA).json(path, multiLine=True, mode="FAILFAST").select("*", F.col("_metadata.file_name").alias("file"))
+
+    def last(rules: DataFrame, key: str, rule: str) -> DataFrame:
+        return rules.groupBy(key).agg(F.max_by(rule, "file").alias(rule))
+
     both = maps.select(F.explode("deletions").alias("key")).select(F.explode(F.array(F.lit("specs"), F.lit("features"))).alias("kind"), "key")
     drops = both
     for kind in ("specs", "features"):
         drops = drops.unionByName(maps.select(F.lit(kind).alias("kind"), F.explode(f"cross_category_removals.{kind}").alias("key")))
+    units = last(maps.select("file", F.explode("unit_extractions").alias("key", "rule")), "key", "rule")
     return StoredRules(
-        maps.select(F.explode("merges").alias("alias", "canonical")),
-        maps.select(F.explode("unit_extractions").alias("key", "rule")).select("key", "rule.units", "rule.new_key"),
+        last(maps.select("file", F.explode("merges").alias("alias", "canonical")), "alias", "canonical"),
+        units.select("key", "rule.units", "rule.new_key"),
         drops.distinct(),
     )
 

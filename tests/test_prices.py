@@ -1,7 +1,9 @@
 import random
+import re
 from statistics import median
 
 import pytest
+from pyspark.sql import functions as F
 
 from shelfwise.operators import prices as pr
 
@@ -45,6 +47,35 @@ def test_random_offers_match_a_plain_loop(spark):
         assert got[p] == (None if want is None else pytest.approx(want)), p
 
 
+def test_split_products_match_a_plain_loop(spark):
+    rng = random.Random(8)
+    offers = {p: [round(rng.choice([20, 200, 900]) * rng.uniform(0.7, 1.4), rng.choice([0, 2])) for _ in range(rng.randint(1, 40))] for p in range(200)}
+    offers[500] = [round(rng.gauss(300, 60), 2) for _ in range(4000)]
+    offers[501] = [float(x) for x in range(100, 400, 5)] + [500.0, 505.01, 510.0]  # one cluster over all range borders
+    df = spark.createDataFrame([(p, x) for p, xs in offers.items() for x in xs], "product_id long, price double")
+    for width in (3.0, 16.0, 1000.0):
+        got = {r.product_id: r for r in pr.consensus_price(df, prices_a_task=0, width=width).collect()}
+        whole = {r.product_id: r for r in pr.consensus_price(df).collect()}
+        assert set(got) == set(whole) == set(offers)
+        for p, xs in offers.items():
+            want = plain_consensus(xs)
+            assert got[p].target_price == (None if want is None else pytest.approx(want)), (p, width)
+            assert (got[p].n_offers, got[p].n_kept) == (whole[p].n_offers, whole[p].n_kept)
+
+
+def test_a_product_of_very_many_prices_is_many_tasks(spark):
+    rows = spark.range(200_000).selectExpr("7L as product_id", "1 + (id * 7919 % 200000) / 100 as price").unionByName(
+        spark.range(50).selectExpr("id as product_id", "cast(id as double) as price").where("product_id <> 7")
+    )
+    got = {r.product_id: r.target_price for r in pr.consensus_price(rows).collect()}
+    assert len(got) == 50
+    # The middle of 1.00 to 2000.99 is 1001; half to twice that is 500.50 to 2000.99, one cluster.
+    assert got[7] == pytest.approx((500.5 + 2000.99) / 2, abs=0.02)
+    plan = pr._consensus_of_split(rows.groupBy("product_id", "price").agg(F.count("*").alias("n")), 5.0, 16.0)._jdf.queryExecution().executedPlan().toString()
+    assert "windowspecdefinition(product_id" in plan
+    assert not re.search(r"windowspecdefinition\(product_id#\d+L?, price", plan)
+
+
 def test_price_mentions(spark):
     pages = spark.createDataFrame([(1, "Was £1299.99 now £1,099.50, GBP 45, 0.50 GBP, 78 GBP and £20000")], "doc_id long, text string")
     assert [r.price for r in pr.extract_prices(pages).orderBy("form", "position").collect()] == [1299.99, 1099.5, 45.0, 78.0]

@@ -134,3 +134,15 @@ def test_map_round_trip(spark):
     assert [(r.kind, r.ord, r.key) for r in eav.where("product_id = 1").orderBy("kind", "ord").collect()] == [("features", 0, "f"), ("specs", 0, "b"), ("specs", 1, "a")]
     back = {r.product_id: (r.specs, r.features) for r in at.from_eav(eav).collect()}
     assert back == {1: ({"b": "1", "a": "2"}, {"f": "Yes"}), 2: ({}, {"g": "No"})}
+
+
+def test_conflicting_stored_rules_never_double_an_attribute(spark, eav, pairs, tmp_path):
+    from shelfwise.plans.standardizing import product_rules, read_rules
+
+    (tmp_path / "1.json").write_text('{"merges": {"a": "b", "x": "y"}, "unit_extractions": {"w": {"units": ["kg"], "new_key": "w_kg"}}}')
+    (tmp_path / "2.json").write_text('{"merges": {"a": "c"}, "unit_extractions": {"w": {"units": ["kg"], "new_key": "weight"}}, "deletions": ["gone"]}')
+    rules = read_rules(spark, str(tmp_path))
+    rows = eav((1, "specs", 0, "a", "v"), (1, "specs", 1, "x", "u"), (1, "specs", 2, "w", "5 kg"), (1, "specs", 3, "gone", "1"))
+    assert pairs(product_rules(rows, rules)) == [("c", "v"), ("y", "u"), ("weight", "5")]
+    twice = spark.createDataFrame([("k", "v", "n2"), ("k", "v", "n1")], "key string, value string, normalized string")
+    assert [(r.key, r.value) for r in st.normalize_values(eav((1, "specs", 0, "k", "v")), twice).collect()] == [("k", "n1")]
