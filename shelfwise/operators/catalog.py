@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from shelfwise.functions.tables import dense_ids, first_by, rule_table
 from shelfwise.functions.text import extract_or_null, is_numeric_text, strip
+from shelfwise.operators.matching import first_prefix
 from shelfwise.rules import (
     BRANDS, FILE_CATEGORIES, MODEL_CASCADE, QUERY_CATEGORY_TERMS, QUERY_MODEL_CASCADE, SIZE_WORD,
 )
@@ -44,22 +45,34 @@ def price_rejects(df: DataFrame, mode: str = "load", column: str = "price_text")
 # --- names --------------------------------------------------------------------------------------
 
 
-def split_brand_model(products: DataFrame, brands: list[str] = BRANDS, strict: bool = False) -> DataFrame:
+def split_brand_model(products: DataFrame, brands: list[str] | DataFrame = BRANDS, strict: bool = False) -> DataFrame:
     """Adds `brand` and `model`: first listed brand that starts the name, else the first word.
 
-    `strict` asks for a word boundary behind the brand; without it `Sharpener` starts with `Sharp`.
+    `brands` is a list, looked through inside the row, or a table (brand, ord) of any size, which is joined. `strict` asks for
+    a word boundary behind the brand; without it `Sharpener` starts with `Sharp`.
     """
     name = F.col("name")
-    parts = F.split(name, " ", 2)
+    if isinstance(brands, DataFrame):
+        # Of brands that differ in case only, the first one's spelling is used.
+        spelled = brands.groupBy(F.lower("brand").alias("pattern")).agg(F.min_by("brand", "ord").alias("_brand"), F.min("ord").alias("ord"))
+        found = first_prefix(products.select(F.lower("name").alias("text")), spelled, whole_words=strict)
+        known = found.select("text", "pattern").join(spelled, "pattern").select("text", "_brand")
+        split = products.join(known, F.lower(products["name"]) == F.col("text"), "left").drop("text")
+    else:
+        listed = F.array(*[F.struct(F.lit(b.lower()).alias("start"), F.lit(b).alias("brand")) for b in brands or [""]])
+
+        def begins(b: Column) -> Column:
+            hit = F.startswith(F.lower(name), b["start"]) & (b["start"] != "")
+            return hit & ~F.substring(name, F.length(b["start"]) + 1, F.lit(1)).rlike("[A-Za-z0-9]") if strict else hit
+
+        split = products.withColumn("_brand", F.get(F.filter(listed, begins), F.lit(0))["brand"])
+    brand, parts = F.col("_brand"), F.split(name, " ", 2)
     two = F.size(parts) == 2
-    brand, model = F.when(two, parts[0]).otherwise(name), F.when(two, F.get(parts, F.lit(1))).otherwise(name)
-    for candidate in reversed(brands):
-        hit = F.lower(name).startswith(candidate.lower())
-        if strict:
-            hit = hit & ~F.substring(name, len(candidate) + 1, 1).rlike("[A-Za-z0-9]")
-        rest = strip(F.substring(name, F.lit(len(candidate) + 1), F.length(name)))
-        brand, model = F.when(hit, F.lit(candidate)).otherwise(brand), F.when(hit, rest).otherwise(model)
-    return products.withColumns({"brand": brand, "model": model})
+    rest = strip(F.substring(name, F.length(brand) + 1, F.length(name)))
+    return split.withColumns({
+        "brand": F.coalesce(brand, F.when(two, parts[0]).otherwise(name)),
+        "model": F.when(brand.isNotNull(), rest).when(two, F.get(parts, F.lit(1))).otherwise(name),
+    }).drop("_brand")
 
 
 def _cascade(text: Column, patterns: list[str], group: int) -> Column:

@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from shelfwise.functions.tables import rule_table
 from shelfwise.functions.text import contains_any, extract_or_null
+from shelfwise.operators.matching import first_contained
 from shelfwise.rules import (
     EXCLUDED_DOMAINS, HOME_PAGES, MANUFACTURER_DOMAINS, PARAMETER_RULES, REDIRECT_HOSTS, REVIEW_DOMAINS, SOURCES,
     TRACKER_HOSTS_KEPT, Source,
@@ -125,8 +127,15 @@ def link_class(url: Column) -> Column:
     )
 
 
-def classify_links(links: DataFrame) -> DataFrame:
-    return links.withColumn("priority", link_class(F.col("url")))
+def classify_links(links: DataFrame, domains: DataFrame | None = None) -> DataFrame:
+    """Adds `priority` by the built-in lists, or by a table (domain, priority) of any size: of the domains a link contains the
+    one of the smallest priority decides, 3 where there is none."""
+    if domains is None:
+        return links.withColumn("priority", link_class(F.col("url")))
+    patterns = domains.select(F.lower("domain").alias("pattern"), F.col("priority").cast("int").alias("ord"))
+    found = first_contained(links.select(F.lower("url").alias("text")), patterns)
+    joined = links.join(found.select("text", F.col("ord").alias("_class")), F.lower(links["url"]) == F.col("text"), "left")
+    return joined.withColumn("priority", F.coalesce("_class", F.lit(3))).drop("text", "_class")
 
 
 def pick_links(classified: DataFrame, k: int = 3) -> DataFrame:
@@ -144,26 +153,41 @@ def pick_links(classified: DataFrame, k: int = 3) -> DataFrame:
     )
 
 
-def route_links(links: DataFrame, sources: list[Source] = SOURCES, enabled_only: bool = True) -> DataFrame:
-    """Source of each link (name, url): by exact name, else by the first registered URL pattern.
+def source_table(spark: SparkSession, sources: list[Source] = SOURCES) -> DataFrame:
+    """The source list as a table: ord, name, patterns, priority, enabled."""
+    return rule_table(spark, {
+        "ord": list(range(len(sources))), "name": [s.name for s in sources], "patterns": [list(s.patterns) for s in sources],
+        "priority": [s.priority for s in sources], "enabled": [s.enabled for s in sources],
+    })
 
-    The rule list is small and fixed, so it becomes one expression instead of a join.
+
+def route_links(links: DataFrame, sources: list[Source] | DataFrame = SOURCES, enabled_only: bool = True) -> DataFrame:
+    """Source of each link (name, url) and its priority: by exact name, else by the first registered URL pattern.
+
+    `sources` is a list, looked through inside the row, or a table like that of `source_table` of any size, which is joined; of
+    equal names the first counts.
     """
+    if isinstance(sources, DataFrame):
+        named = sources.groupBy(F.upper("name").alias("_name")).agg(F.min("ord").alias("_by_name"))
+        found = first_contained(links.select(F.lower("url").alias("text")), sources.select(F.explode("patterns").alias("pattern"), "ord"))
+        found = found.select("text", F.col("ord").alias("_by_url"))
+        joined = links.join(named, F.upper(links["name"]) == F.col("_name"), "left").join(found, F.lower(links["url"]) == F.col("text"), "left")
+        placed = joined.withColumn("_ord", F.coalesce("_by_name", "_by_url")).drop("_name", "_by_name", "text", "_by_url")
+        kept = sources.where("enabled") if enabled_only else sources
+        about = kept.select(F.col("ord").alias("_ord"), F.col("name").alias("source"), F.col("priority").cast("int").alias("priority"))
+        return placed.join(about, "_ord").drop("_ord")
+    listed = F.array(*[
+        F.struct(
+            F.lit(s.name).alias("name"), F.array(*[F.lit(p) for p in s.patterns]).cast("array<string>").alias("patterns"),
+            F.lit(s.priority).alias("priority"), F.lit(s.enabled).alias("enabled"),
+        ) for s in sources
+    ])
     name, url = F.upper("name"), F.lower("url")
-    by_name = by_url = None
-    for s in sources:
-        at_name = name == s.name.upper()
-        at_url = contains_any(url, s.patterns)
-        by_name = F.when(at_name, s.name) if by_name is None else by_name.when(at_name, s.name)
-        by_url = F.when(at_url, s.name) if by_url is None else by_url.when(at_url, s.name)
-    routed = links.withColumn("source", F.coalesce(by_name, by_url)).where("source is not null")
-    if enabled_only:
-        routed = routed.where(F.col("source").isin([s.name for s in sources if s.enabled]))
-    priority = None
-    for s in sources:
-        hit = F.col("source") == s.name
-        priority = F.when(hit, s.priority) if priority is None else priority.when(hit, s.priority)
-    return routed.withColumn("priority", priority)
+    by_name = F.get(F.filter(listed, lambda s: F.upper(s["name"]) == name), F.lit(0))
+    by_url = F.get(F.filter(listed, lambda s: F.exists(s["patterns"], lambda p: F.contains(url, p))), F.lit(0))
+    routed = links.withColumn("_source", F.coalesce(by_name, by_url)).where("_source is not null")
+    routed = routed.where("_source.enabled") if enabled_only else routed
+    return routed.withColumns({"source": F.col("_source.name"), "priority": F.col("_source.priority")}).drop("_source")
 
 
 def absolute_url(base: Column, target: Column) -> Column:

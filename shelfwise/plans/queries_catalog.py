@@ -119,6 +119,22 @@ def _(v):
     return ct.split_brand_model(v.fx_product.select("product_id", F.expr(NAME_CASES).alias("name")), BRAND_LIST)
 
 
+@REGISTRY.add("B03_brand_table", """
+with b as (select lower(p_name) as low, min(p_partkey) as ord, arg_min(p_name, p_partkey) as brand from part group by 1),
+p as (select l_orderkey, l_linenumber, p_name || case l_linenumber % 3 when 0 then 'X' when 1 then ' mark ' || cast(l_quantity as varchar) else '' end as name
+      from lineitem join part on p_partkey = l_partkey),
+hit as (select name, min(ord) as o from (select distinct name from p) p join b on starts_with(lower(name), low)
+        and not regexp_matches(substr(name, length(brand) + 1, 1), '[A-Za-z0-9]') group by name)
+select l_orderkey, l_linenumber, p.name, coalesce(b.brand, split_part(p.name, ' ', 1)) as brand,
+       case when b.brand is not null then trim(substr(p.name, length(b.brand) + 1)) when contains(p.name, ' ') then substr(p.name, strpos(p.name, ' ') + 1) else p.name end as model
+from p left join hit on hit.name = p.name left join b on b.ord = hit.o""")
+def _(v):
+    """Every part's name is a brand; names of ordered parts begin with one, a letter behind it or not."""
+    name = "p_name || case l_linenumber % 3 when 0 then 'X' when 1 then ' mark ' || cast(l_quantity as string) else '' end as name"
+    ordered = v.lineitem.join(v.part, F.col("p_partkey") == F.col("l_partkey")).selectExpr("l_orderkey", "l_linenumber", name)
+    return ct.split_brand_model(ordered, v.part.select(F.col("p_name").alias("brand"), F.col("p_partkey").alias("ord")), strict=True)
+
+
 @REGISTRY.add("B04_extract_model", f"""
 select product_id, name, lower(regexp_extract(name, '^\\s*(\\S*)', 1)) as brand_word,
        coalesce({', '.join(f"nullif(regexp_extract(upper(name), '{p}', 0), '')" for p in MODEL_CASCADE)}, '') as model_number

@@ -155,6 +155,53 @@ def _(v):
     return lk.route_links(all_links(v))
 
 
+# Every address of the landed pages, without its scheme, is a rule; the shortest ones also as a word.
+_PAGE_RULES = """(select page_id as ord, 'S' || cast(page_id as varchar) as name, regexp_replace(lower(url), '^https?://', '') as pattern, page_id % 3 <> 1 as enabled from pages
+  union all select 1000000 + page_id, 'H' || cast(page_id % 7 as varchar), 'item/' || cast(page_id % 40 as varchar), true from pages)"""
+
+
+def page_rules(v):
+    own = v.pages.select(
+        F.col("page_id").alias("ord"), F.concat(F.lit("S"), F.col("page_id").cast("string")).alias("name"),
+        F.array(F.regexp_replace(F.lower("url"), "^https?://", "")).alias("patterns"), F.expr("cast(page_id % 5 as int)").alias("priority"), F.expr("page_id % 3 <> 1").alias("enabled"),
+    )
+    items = v.pages.selectExpr(
+        "1000000 + page_id as ord", "'H' || cast(page_id % 7 as string) as name", "array('item/' || cast(page_id % 40 as string)) as patterns",
+        "cast(9 as int) as priority", "true as enabled",
+    )
+    return own.unionByName(items)
+
+
+def linked_texts(v):
+    """Retailer links and all page addresses, every second one with an item at its end."""
+    tail = F.expr("case when product_id % 2 = 0 then '/item/' || cast(product_id % 50 as string) else '' end")
+    return all_links(v).withColumn("url", F.concat("url", tail))
+
+
+_LINKED = f"(select product_id, ord, name, url || case when product_id % 2 = 0 then '/item/' || cast(product_id % 50 as varchar) else '' end as url from {ALL_LINKS} a)"
+
+
+@REGISTRY.add("F04_route_rules", f"""
+with rule as (select ord as o, name as rn, pattern, enabled, case when ord < 1000000 then cast(ord % 5 as int) else 9 end as priority from {_PAGE_RULES} r where pattern <> ''),
+named as (select upper(rn) as u, min(o) as o from rule group by 1),
+text as (select distinct lower(url) as t from {_LINKED} l),
+hit as (select t, min(o) as o from text join rule on contains(t, pattern) group by t)
+select l.product_id, l.ord, l.name, l.url, r.rn as source, r.priority
+from {_LINKED} l left join named n on n.u = upper(l.name) left join hit h on h.t = lower(l.url) join rule r on r.o = coalesce(n.o, h.o) where r.enabled""")
+def _(v):
+    return lk.route_links(linked_texts(v), page_rules(v))
+
+
+@REGISTRY.add("H04_classify_by_table", f"""
+with domain as (select regexp_replace(lower(url), '^https?://([^/]*).*$', '\\1') as d, min(cast(page_id % 3 as int)) as p from pages group by 1),
+text as (select distinct lower(url) as t from {_LINKED} l), hit as (select t, min(p) as p from text join domain on contains(t, d) and d <> '' group by t)
+select l.*, coalesce(h.p, 3) as priority from {_LINKED} l left join hit h on h.t = lower(l.url)""")
+def _(v):
+    """The hosts of all pages are the list of domains."""
+    domains = v.pages.select(F.regexp_replace(F.lower("url"), "^https?://([^/]*).*$", "$1").alias("domain"), F.expr("cast(page_id % 3 as int)").alias("priority"))
+    return lk.classify_links(linked_texts(v), domains)
+
+
 @REGISTRY.add("F08_resolve_redirects", """
 with recursive edge as (
   select src, min(case when starts_with(dst, '/') then regexp_extract(src, '^(https?://[^/]*)', 1) || dst else dst end) as dst from fx_redirect group by src),

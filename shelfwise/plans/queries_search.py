@@ -124,7 +124,7 @@ field as (
   union all select s.product_id, category_id, case kind when 'specs' then 3 else 4 end, case kind when 'specs' then 0.2::double else 0.1::double end,
                    string_agg(s.key || ' ' || s.value, ' ' order by ord) from fx_spec s join fx_product p on p.product_id = s.product_id group by all
 ),
-split as (select product_id, category_id, f, w, list_filter(string_split_regex(lower(text), '[^\p{{L}}\p{{N}}]+'), lambda t: t <> '') as ts from field),
+split as (select product_id, category_id, f, w, list_filter(string_split_regex(lower(text), '[^\\p{{L}}\\p{{N}}]+'), lambda t: t <> '') as ts from field),
 token as (select product_id, category_id, f, w, unnest(ts) as word, unnest(range(len(ts))) as i from split),
 placed as (select product_id, category_id, w, word, row_number() over (partition by product_id order by f, i) - 1 as position from token),
 stemmed as (select product_id, category_id, w, coalesce(s.stem, word) as term, position from placed left join (values {STEMS}) s(word, stem) using (word) where word not in ({STOPS})),
