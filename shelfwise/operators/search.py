@@ -359,15 +359,19 @@ def common_features(feature_rows: DataFrame, k: int = 20) -> DataFrame:
     return counts.withColumn("rank", F.row_number().over(window)).where(F.col("rank") <= k)
 
 
-def facets(products: DataFrame, price_step: int = 100) -> DataFrame:
-    """Counts per brand, price range and `Yes` feature, from one pass over the products."""
+def facet_labels(price_step: int = 100) -> Column:
+    """(facet, label) of a product: its brand, its price range and its `Yes` features; the label may be null."""
     low = (F.floor(F.col("price") / price_step) * price_step).cast("bigint")
     price = F.concat(low.cast("string"), F.lit("-"), (low + price_step).cast("string"))
-    pairs = F.concat(
+    return F.concat(
         F.array(F.struct(F.lit("brand").alias("facet"), F.col("brand").alias("label")), F.struct(F.lit("price").alias("facet"), price.alias("label"))),
         F.transform(F.map_keys(F.map_filter("features", lambda k, v: v == "Yes")), lambda k: F.struct(F.lit("feature").alias("facet"), k.alias("label"))),
     )
-    return products.select(F.inline(pairs)).where("label is not null").groupBy("facet", "label").agg(F.count("*").alias("products"))
+
+
+def facets(products: DataFrame, price_step: int = 100) -> DataFrame:
+    """Counts per brand, price range and `Yes` feature, from one pass over the products."""
+    return products.select(F.inline(facet_labels(price_step))).where("label is not null").groupBy("facet", "label").agg(F.count("*").alias("products"))
 
 
 def complete(products: DataFrame, prefix: str, n: int = 10) -> DataFrame:

@@ -9,6 +9,8 @@ from shelfwise.operators import attributes as at
 from shelfwise.operators import catalog as ct
 from shelfwise.plans.registry import REGISTRY
 from shelfwise.rules import FILE_CATEGORIES, MODEL_CASCADE, QUERY_CATEGORY_TERMS, QUERY_MODEL_CASCADE
+from shelfwise.session import new_shared_path
+from shelfwise.sources.loads import LoadedTable
 
 BRAND_LIST = ["Brand#1", "Brand#12", "brand#2", "BRAND#25"]
 CATEGORY_SLUGS = ["washing-machines", "air-fryers", "tvs", "laptops", "gadgets"]
@@ -269,6 +271,18 @@ def _(v):
     return ct.load_products(rows.where(_EXISTING), rows, ["category_id", "name"], "new")
 
 
+@REGISTRY.add("A09_loads_once", """
+select product_id, category_id, name, price from fx_product where category_id <= 3
+union all select product_id, category_id, name, price + 1 from fx_product where category_id > 3""")
+def _(v):
+    """Two loads, each run twice: the second run of a load that is committed changes nothing."""
+    rows = v.fx_product.select("product_id", "category_id", "name", "price")
+    table = LoadedTable(v.spark, new_shared_path(v.spark, "catalog"), rows.schema, ["product_id"])
+    for name, part in (("first", rows.where(_EXISTING)), ("second", rows.where(f"not ({_EXISTING})").withColumn("price", F.col("price") + 1))) * 2:
+        table.append(part, name)
+    return table.read()
+
+
 _REPEATED_NAME = "case when product_id % 5 = 0 then brand else name end"
 
 

@@ -13,7 +13,7 @@ from shelfwise.plans.standardizing import product_rules, read_rules, write_rules
 from shelfwise.plans.views import SPEC_ROWS, spark_row_array
 from shelfwise.session import new_shared_path
 from shelfwise.sources.catalog_io import number_products, read_catalog, rejected_documents, write_stage
-from shelfwise.streaming.jobs import metrics_stream, standardize_stream
+from shelfwise.streaming.jobs import SKETCH_RANK_ERROR, hourly_sketches, metrics_stream, rollup_sketches, sketch_stream, standardize_stream
 
 
 def _landed_catalog(v) -> str:
@@ -117,6 +117,68 @@ def _(v):
     )
 
 
+def metrics_events(v):
+    """The event table as a stream of searches."""
+    events = v.spark.readStream.schema(v.events.schema).option("pathGlobFilter", "events.parquet").parquet(v.sf_dir)
+    return events.selectExpr(
+        "event_id as search_id", "cast(user_id % 5 + 1 as bigint) as category_id", "event_type as query_text",
+        "value * 10 as execution_time_ms", "event_id % 3 = 0 as cache_hit", "cast(ts as timestamp) as created_at",
+    )
+
+
+def ranks_fit(rollup, rows, keys):
+    """Do the quantiles lie at their rank, give or take the sketch's error and a row?"""
+    placed = rollup.join(rows, keys).groupBy(*keys, *[c for c in rollup.columns if c not in keys]).agg(
+        *[F.count_if(F.col("execution_time_ms") < F.col(c)).alias(f"{c}_below") for c in ("p50_latency", "p95_latency")],
+        *[F.count_if(F.col("execution_time_ms") <= F.col(c)).alias(f"{c}_upto") for c in ("p50_latency", "p95_latency")],
+    )
+
+    def fits(column: str, share: float) -> Column:
+        place, slack = F.col("search_count") * share, 1 + F.col("search_count") * SKETCH_RANK_ERROR
+        return (F.col(f"{column}_below") <= place + slack) & (F.col(f"{column}_upto") >= place - slack)
+
+    return placed.withColumns({"p50_fits": fits("p50_latency", 0.5), "p95_fits": fits("p95_latency", 0.95)})
+
+
+@REGISTRY.add("X01_sketch_stream", """
+with closed as (select *, date_trunc('hour', created_at) as hour from fx_metrics
+                where date_trunc('hour', created_at) + interval 1 hour <= (select max(created_at) - interval 10 minutes from fx_metrics))
+select category_id, count(distinct hour) as hours, count(*) as search_count, round(avg(execution_time_ms), 6) as avg_latency,
+  round(avg(cast(cache_hit as int)), 6) as cache_hit_rate, true as p50_fits, true as p95_fits from closed group by category_id""")
+def _(v):
+    """Sketches of a stream, stored by the hour; all closed hours of a category from one row an hour."""
+    out = new_shared_path(v.spark, "sketches")
+    query = (
+        sketch_stream(metrics_events(v)).writeStream.format("parquet").outputMode("append").option("path", out)
+        .option("checkpointLocation", out + "-checkpoint").trigger(availableNow=True).start()
+    )
+    query.awaitTermination()
+    hours = v.spark.read.schema(
+        "hour timestamp, category_id bigint, search_count bigint, timed bigint, total_latency double, cache_hits bigint, sketch binary"
+    ).parquet(out)
+    rows = v.fx_metrics.withColumn("hour", F.date_trunc("hour", "created_at")).join(hours.select("hour", "category_id"), ["hour", "category_id"], "left_semi")
+    fitted = ranks_fit(rollup_sketches(hours, "category_id"), rows, ["category_id"])
+    return fitted.select(
+        "category_id", "hours", "search_count", F.round("avg_latency", 6).alias("avg_latency"), F.round("cache_hit_rate", 6).alias("cache_hit_rate"), "p50_fits", "p95_fits"
+    )
+
+
+@REGISTRY.add("K13_sketch_rollup", """
+with now as (select max(created_at) as now from fx_metrics)
+select category_id, date_trunc('day', created_at) as day, count(distinct date_trunc('hour', created_at)) as hours, count(*) as search_count,
+  round(avg(execution_time_ms), 6) as avg_latency, round(cast(count(*) filter (where cache_hit) as double) / count(*), 6) as cache_hit_rate, true as p50_fits, true as p95_fits
+from fx_metrics group by category_id, day""")
+def _(v):
+    """Days from the hours' stored sketches."""
+    out = new_shared_path(v.spark, "hours")
+    hourly_sketches(v.fx_metrics).write.parquet(out)
+    days = rollup_sketches(v.spark.read.parquet(out), "category_id", F.date_trunc("day", "hour").alias("day"))
+    fitted = ranks_fit(days, v.fx_metrics.withColumn("day", F.date_trunc("day", "created_at")), ["category_id", "day"])
+    return fitted.select(
+        "category_id", "day", "hours", "search_count", F.round("avg_latency", 6).alias("avg_latency"), F.round("cache_hit_rate", 6).alias("cache_hit_rate"), "p50_fits", "p95_fits"
+    )
+
+
 @REGISTRY.add("X02_standardize_stream", STANDARDIZE_SQL)
 def _(v):
     spark = v.spark

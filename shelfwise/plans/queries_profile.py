@@ -11,6 +11,8 @@ from shelfwise.plans.registry import REGISTRY
 from shelfwise.rules import (
     BLACKLIST_KEYS, BOOLEAN_FIELDS, METADATA_EXCLUDED_SPECS, NUMERIC_FIELD, STANDARD_UNIT_SPELLINGS, UNIT_SPELLINGS, VARIANT_SUFFIXES, YES_NO_VARIANTS,
 )
+from shelfwise.session import new_shared_path
+from shelfwise.sources.loads import LoadedTable
 
 # Specs keys of two more sources, so that spellings of one name meet.
 MORE_KEYS = """(
@@ -244,3 +246,17 @@ def _(v):
     )
     new = stats.select("category_id", "field_values", F.lit(None).cast("double").alias("price"), F.lit(None).cast("double").alias("score"))
     return md.upsert_metadata(stats.withColumn("category_id", F.col("category_id") + 2), new, ["price", "score"])
+
+
+@REGISTRY.add("A10_bucketed_upsert", """
+select product_id, case when product_id % 50 = 7 then category_id + 100 else category_id end as field_values, price, score
+from fx_product where product_id % 3 <> 0 or product_id % 50 = 7""")
+def _(v):
+    """Only the buckets of the upserted keys are read and rewritten; stored prices and scores stay, new keys bring their own."""
+    stored = v.fx_product.selectExpr("product_id as category_id", "cast(category_id as bigint) as field_values", "price", "score")
+    table = LoadedTable(v.spark, new_shared_path(v.spark, "metadata"), stored.schema, ["category_id"])
+    table.append(stored.where("category_id % 3 <> 0"), "stored")
+    fresh = stored.where("category_id % 50 = 7").withColumn("field_values", F.col("field_values") + 100)
+    fresh = fresh.withColumns({c: F.when(F.col("category_id") % 3 == 0, F.col(c)) for c in ("price", "score")})
+    table.upsert(fresh, "fresh", lambda old, new: md.upsert_metadata(old, new, ["price", "score"]).drop("action"))
+    return table.read().withColumnRenamed("category_id", "product_id")

@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from shelfwise.operators import browsing as br
+from shelfwise.operators import facet_index as fi
 from shelfwise.operators import ranked_search as rs
 from shelfwise.operators import search as sc
 from shelfwise.plans.queries_attributes import quoted
@@ -330,6 +332,34 @@ def _(v):
     return sc.facets(catalog(v).where("category_id = 2"))
 
 
+_facets: dict[tuple[str, str], str] = {}
+
+
+def facet_index(v):
+    """The facet index of this catalog, stored once a session and read from there."""
+    key = (v.spark.sparkContext.applicationId, v.sf_dir)
+    if key not in _facets:
+        _facets[key] = new_shared_path(v.spark, "facets")
+        fi.write_facet_index(catalog(v), _facets[key])
+    return fi.read_facet_index(v.spark, _facets[key])
+
+
+@REGISTRY.add("K10_filtered_facets", f"""
+with {_PIVOT},
+f as (select * from filtered where category_id = 2)
+select 'brand' as facet, brand as label, count(*) as products from f group by brand
+union all select 'price', cast(cast(floor(price / 100) * 100 as bigint) as varchar) || '-' || cast(cast(floor(price / 100) * 100 + 100 as bigint) as varchar), count(*) from f group by all
+union all select 'feature', key, count(*) from fx_spec s join f on f.product_id = s.product_id where kind = 'features' and value = 'Yes' group by key""")
+def _(v):
+    """The facets of what a structured filter leaves, from bitmaps."""
+    return facet_index(v).facets(2, FILTER)
+
+
+@REGISTRY.add("K10_filtered_count", f"with {_PIVOT} select count(*) as products from filtered where category_id = 3")
+def _(v):
+    return facet_index(v).count(3, FILTER)
+
+
 @REGISTRY.add("K11_complete", "select distinct name from fx_product where starts_with(lower(name), 'brand#1') order by name limit 10")
 def _(v):
     return sc.complete(v.fx_product, "BRAND#1")
@@ -340,6 +370,31 @@ def _(v):
     return sc.page(v.fx_product.select("product_id", "price"), [F.desc("price"), F.col("product_id")], 50, 100)
 
 
+_names: dict[tuple[str, str], str] = {}
+
+
+@REGISTRY.add("K11_complete_stored", "select distinct name from fx_product where starts_with(lower(name), 'brand#1') order by name limit 10")
+def _(v):
+    key = (v.spark.sparkContext.applicationId, v.sf_dir)
+    if key not in _names:
+        _names[key] = new_shared_path(v.spark, "names")
+        br.write_names(v.fx_product, _names[key])
+    return br.complete_stored(br.read_names(v.spark, _names[key]), "BRAND#1")
+
+
+@REGISTRY.add("K11_page_after", """
+select product_id, price from (select product_id, case when product_id % 29 = 0 then null else price end as price from fx_product) p
+order by price desc nulls last, product_id limit 50 offset 100""")
+def _(v):
+    """The third page, found from the last row of the second."""
+    rows, order = some_missing(v.fx_product).select("product_id", "price"), [("price", True), ("product_id", False)]
+    last = None
+    for _ in range(2):
+        seen = br.page_after(rows, order, 50, last).collect()
+        last = (seen[-1]["price"], seen[-1]["product_id"])
+    return br.page_after(rows, order, 50, last)
+
+
 @REGISTRY.add("K11_lookup", """
 select product_id, name from fx_product where product_id in (select l_partkey from lineitem where l_quantity > 49)""")
 def _(v):
