@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from shelfwise.functions.arrays import running_sum
 from shelfwise.rules import PRICE_FORMS, PRICE_NUMBER_LITERAL, PRICE_NUMBER_STRICT
 
-# Distinct prices of one product that one task may sort, and width in pounds of the ranges into which more are split.
+# Offers of one product whose prices one task may sort, and width in pounds of the ranges into which more are split.
 PRICES_A_TASK = 4_096
 RANGE_WIDTH = 16.0
 
@@ -44,12 +44,14 @@ def _median(price: Column, cumulative: Column, total: Column, over) -> Column:
 def consensus_price(offers: DataFrame, gap: float = 5.0, prices_a_task: int = PRICES_A_TASK, width: float = RANGE_WIDTH) -> DataFrame:
     """Fair price per product: median of the largest price cluster after dropping outliers.
 
-    Offers are first counted per product and price. Products of up to `prices_a_task` distinct prices share one
-    partitioning by product. Those of more are split into ranges of `width` pounds, so that a product of any size is
-    the work of many tasks; both ways give the same result.
+    Offers are first counted per product and price. Products of up to `prices_a_task` offers share one partitioning by
+    product. Those of more are split into ranges of `width` pounds, so that a product of any size is the work of many
+    tasks; both ways give the same result. Whether there are such products is told by a job over the product column alone.
     """
     counted = offers.groupBy("product_id", "price").agg(F.count("*").alias("n"))
-    large = counted.groupBy("product_id").agg(F.count("*").alias("_prices")).where(F.col("_prices") > prices_a_task).select("product_id")
+    large = offers.groupBy("product_id").agg(F.count("*").alias("_offers")).where(F.col("_offers") > prices_a_task).select("product_id")
+    if large.isEmpty():
+        return _consensus_of_whole(counted, gap)
     whole = _consensus_of_whole(counted.join(large, "product_id", "left_anti"), gap)
     return whole.unionByName(_consensus_of_split(counted.join(large, "product_id", "left_semi"), gap, width))
 
