@@ -127,7 +127,7 @@ def _false_members(texts: DataFrame, members: DataFrame, groups: DataFrame, modu
     whole = seen.join(several, ["fp", "n_bytes"]).withColumn("parts", parts)
     # One model a group, however many rows have the id of the one that stays.
     is_first = F.col("key") == F.col("keep_key")
-    salts = F.when(is_first, F.sequence(F.lit(0), F.col("parts") - 1)).otherwise(F.array(F.pmod("key", "parts").cast("int")))
+    salts = F.when(is_first, F.sequence(F.lit(0), F.col("parts") - 1)).otherwise(F.array(F.pmod(F.xxhash64("key"), F.col("parts")).cast("int")))
     whole = whole.select("id", "text", "fp", "n_bytes", is_first.alias("is_first"), salts.alias("salts"))
     rows = _chunk_rows(whole).withColumn("salt", F.explode("salts")).drop("salts")
     placed = rows.repartition("fp", "n_bytes", "chunk_no", "salt").sortWithinPartitions("fp", "n_bytes", "chunk_no", "salt", F.desc("is_first"))
