@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-SPLITS = 1024
+# Parts of a group's values; a power of two.
+SPLITS = 256
 
 
 def join_on(left: DataFrame, right: DataFrame, keys: list[str], how: str = "inner") -> DataFrame:
@@ -19,21 +20,24 @@ def ranked_values(df: DataFrame, keys: list[str], value: str, splits: int = SPLI
     """Distinct values of each group: keys, value, n (rows), below (rows of smaller values), known (rows not null) and
     total. Nulls are one value, after all others.
 
-    Rows are counted by value first. A group's range of values is cut into `splits` parts: a running sum inside a part
-    and one over the parts give the rank, so a group that holds most rows is the work of many tasks.
+    Rows are counted by value first. A group's distinct values are cut into about `splits` equal parts at approximate
+    quantiles, so outliers take no more than their own part: a running sum inside a part and one over the parts give the
+    rank, and a group that holds most rows is the work of many tasks.
     """
     counted = df.groupBy(*keys, value).agg(F.count("*").alias("n"))
     known = F.sum(F.when(F.col(value).isNotNull(), F.col("n")).otherwise(0))
+    number = F.col(value).cast("double")
     bounds = counted.groupBy(*keys).agg(
-        F.min(value).cast("double").alias("_low"), F.max(value).cast("double").alias("_high"), F.sum("n").alias("total"), known.alias("known")
+        F.percentile_approx(number, [i / splits for i in range(1, splits)], 10 * splits).alias("_cuts"), F.sum("n").alias("total"), known.alias("known")
     )
-    share = (F.col(value).cast("double") - F.col("_low")) / (F.col("_high") - F.col("_low"))
-    part = (
-        F.when(F.col(value).isNull(), splits)
-        .when(F.col("_high") > F.col("_low"), F.least(F.floor(share * splits), F.lit(splits - 1)).cast("int"))
-        .otherwise(0)
+    steps = [1 << i for i in reversed(range((splits - 1).bit_length()))]
+    # How many cuts are smaller, by halving.
+    smaller_cuts = F.aggregate(
+        F.array(*[F.lit(s) for s in steps]), F.lit(0),
+        lambda at, step: F.when(F.get(F.col("_cuts"), at + step - 1) < number, at + step).otherwise(at),
     )
-    placed = join_on(counted, bounds, keys).withColumn("_part", part).drop("_low", "_high")
+    part = F.when(F.col(value).isNull(), splits).otherwise(smaller_cuts)
+    placed = join_on(counted, bounds, keys).withColumn("_part", part).drop("_cuts")
     earlier = Window.partitionBy(*keys).orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
     parts = placed.groupBy(*keys, "_part").agg(F.sum("n").alias("_size"))
     parts = parts.withColumn("_before", F.coalesce(F.sum("_size").over(earlier), F.lit(0))).drop("_size")

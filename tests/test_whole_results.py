@@ -103,3 +103,19 @@ def test_rules_from_storage(spark, eav, tmp_path):
     assert results[0] == results[1] == {("specs", "weight_kg", "5"), ("features", "name", "y")}
     (tmp_path / "m.json").write_text('{"merges": {"a": "b"}}')
     assert read_rules(spark, f"file://{tmp_path}").drops.count() == 0
+
+
+def test_an_outlier_does_not_put_all_values_into_one_part(spark):
+    from shelfwise.functions import ranks
+
+    values = spark.range(20_000).selectExpr("1 as g", "cast(id as double) as v").unionByName(
+        spark.sql("select 1 as g, 1e300 as v union all select 1, -1e300 union all select 1, null union all select 2, 5.0D union all select 3, null")
+    )
+    got = ranks.ranked_values(values, ["g"], "v")
+    rows = {(r.g, r.v): (r.n, r.below, r.known, r.total) for r in got.collect()}
+    assert rows[(1, -1e300)] == (1, 0, 20_002, 20_003) and rows[(1, 0.0)] == (1, 1, 20_002, 20_003)
+    assert rows[(1, 12_345.0)] == (1, 12_346, 20_002, 20_003) and rows[(1, 1e300)] == (1, 20_001, 20_002, 20_003)
+    assert rows[(1, None)] == (1, 20_002, 20_002, 20_003) and rows[(2, 5.0)] == (1, 0, 1, 1) and rows[(3, None)] == (1, 0, 0, 1)
+    assert len(rows) == 20_005
+    shares = {r.g: (r.low, r.mid) for r in ranks.percentiles(values, ["g"], "v", {"low": 0.25, "mid": 0.5}).collect()}
+    assert shares[1] == (4_999.25, 9_999.5) and shares[2] == (5.0, 5.0)
