@@ -159,9 +159,13 @@ def resolve_and_unify(eav: DataFrame, merges: DataFrame) -> DataFrame:
     )
 
 
+def boolean_word(value: Column) -> Column:
+    return F.lower(strip(value)).isin(BOOLEAN_WORDS)
+
+
 def key_stats(eav: DataFrame) -> DataFrame:
     """Per kind and key: how many products have it, and whether all its non-blank values are boolean."""
-    boolean = F.lower(strip(F.col("value"))).isin(BOOLEAN_WORDS)
+    boolean = boolean_word(F.col("value"))
     all_boolean = F.bool_and(F.when(~is_blank(F.col("value")), boolean))
     return eav.groupBy("kind", "key").agg(F.count("*").alias("products"), F.coalesce(all_boolean, F.lit(False)).alias("boolean"))
 

@@ -14,6 +14,7 @@ from shelfwise.plans.views import SPEC_ROWS, spark_row_array
 from shelfwise.session import new_shared_path
 from shelfwise.sources.catalog_io import number_products, read_catalog, rejected_documents, write_stage
 from shelfwise.streaming.jobs import SKETCH_RANK_ERROR, hourly_sketches, metrics_stream, rollup_sketches, sketch_stream, standardize_stream
+from shelfwise.streaming.live import LiveCatalog, live_stream
 
 
 def _landed_catalog(v) -> str:
@@ -201,3 +202,22 @@ def _(v):
         out, out + "-checkpoint",
     ).awaitTermination()
     return spark.read.schema("product_id bigint, kind string, ord bigint, key string, value string").parquet(f"{out}/batch=*")
+
+
+@REGISTRY.add("X02_live_profile", STANDARDIZE_SQL)
+def _(v):
+    """Products arrive in three files: two thirds in an old form, then all, then a few late in a form older still."""
+    spark, landing, live = v.spark, new_shared_path(v.spark, "landing"), new_shared_path(v.spark, "live")
+    parts = v.part.withColumn("product_id", F.col("p_partkey"))
+    old = parts.where("p_partkey % 3 <> 0").withColumns({"p_size": F.col("p_size") + 7, "p_name": F.concat("p_name", F.lit(" old")), "version": F.lit(1).cast("bigint")})
+    for arrived in (old, parts.withColumn("version", F.lit(2).cast("bigint")), old.where("p_partkey % 5 = 0").withColumn("version", F.lit(0).cast("bigint"))):
+        arrived.coalesce(1).write.mode("append").parquet(landing)
+
+    def to_rows(batch):
+        return batch.selectExpr("product_id", f"inline({spark_row_array(SPEC_ROWS)})")
+
+    schema = spark.read.parquet(landing).schema
+    arriving = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(landing)
+    catalog = LiveCatalog(spark, live)
+    live_stream(arriving, catalog, to_rows, RULES, value_map_table(spark), live + "-checkpoint").awaitTermination()
+    return catalog.standardized(10.0)

@@ -83,6 +83,13 @@ class LoadedTable:
         """The rows of all committed loads."""
         return self._read(self._latest()[1])
 
+    def near(self, rows: DataFrame) -> DataFrame:
+        """Stored rows of the buckets that the rows' keys fall into, all rows of these keys among them."""
+        return self._read(self._latest()[1], self._touched(rows))
+
+    def _touched(self, rows: DataFrame) -> list[int]:
+        return sorted(r[0] for r in rows.select(self._bucket()).distinct().collect())
+
     def loads(self) -> list[str]:
         return self._latest()[1]["loads"]
 
@@ -102,7 +109,7 @@ class LoadedTable:
         number, content = self._latest()
         if load_id in content["loads"]:
             return False
-        touched = sorted(r[0] for r in rows.select(self._bucket()).distinct().collect())
+        touched = self._touched(rows)
         folder, held = self._write(merge(self._read(content, touched), rows))
         if not set(held) <= set(touched):
             raise ValueError("a merge must keep its rows' keys")

@@ -15,7 +15,7 @@ EAGER = {
     "A01_read_catalog", "A01_reviews_and_rejects", "A02_stage_round_trip", "A09_loads_once", "A10_bucketed_upsert", "C16_standardize",
     "C16_stored_rules", "K02_block_search", "K02_block_soft_price", "K03_english_exclusion", "K03_english_phrase", "K10_filtered_count",
     "K10_filtered_facets", "K11_complete_stored", "K11_page_after", "K13_sketch_rollup", "X01_metrics_stream", "X01_sketch_stream",
-    "X02_standardize_stream",
+    "X02_live_profile", "X02_standardize_stream",
 }
 
 
