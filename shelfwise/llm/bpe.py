@@ -169,7 +169,8 @@ def encode_documents(docs: DataFrame, path: str, doc_id: str = "doc_id", text: s
 
     Every whole text is encoded and decoded; null counts as empty, which has no tokens. Chunks are shared by all
     documents that a worker meets, through a store of bounded size: nothing is shuffled, and a lost executor only
-    loses a store that fills again. `path` is the vocabulary file, which each worker reads.
+    loses a store that fills again. `path` is the vocabulary file, which each worker reads. Repeated rows, and rows
+    without an id, each give a row; an empty table gives an empty result; a very long text is encoded chunk by chunk.
     """
     prepare_text(docs.sparkSession)
 

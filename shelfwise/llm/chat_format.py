@@ -98,7 +98,8 @@ def canonical_turns(df: DataFrame, layouts: tuple[Layout, ...] = LAYOUTS) -> Dat
     In a table with a row per turn, rows of one conversation are sorted by turn, then role and text, repeated rows
     staying; a null turn sorts first. In the other layouts a row is a conversation: its id is the column `conv_id`
     or `id` where there is one, else null. Null texts are empty turns, except in layouts of named parts, where a
-    null part is no turn. Role names become lower-case and known aliases `user` and `assistant`.
+    null part is no turn. Role names become lower-case and known aliases `user` and `assistant`. An empty table gives an
+    empty result; a conversation is one row of the result, however long its texts.
     """
     layout = select_layout(df.schema, layouts)
     if layout.key:

@@ -203,7 +203,10 @@ def learn(docs: DataFrame, labels: DataFrame, learnable: Column, label: str = "q
 
 
 def score_quality(docs: DataFrame, model: RuleModel, score: str = "score", text: str = "text", keep: list[str] | None = None) -> DataFrame:
-    """`docs` with the score of every whole text in [0, 1]; null and empty texts have the score of zero statistics."""
+    """`docs` with the score of every whole text in [0, 1]; null and empty texts have the score of zero statistics.
+
+    Repeated rows are scored each for itself, very long texts as a whole; an empty table gives an empty result.
+    """
     (stats,) = fresh(docs, "_stats")
     scored = with_statistics(docs, text, stats, keep)
     kept = [c for c in scored.columns if c not in (stats, score)]

@@ -301,7 +301,10 @@ def learn(docs: DataFrame, labels: DataFrame, learnable: Column, label: str = "t
 
 
 def score_toxicity(docs: DataFrame, model: ToxicityModel, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """(doc_id, score) of every whole text; null and empty texts have the score of no words. The model has a fixed size."""
+    """(doc_id, score) of every whole text; null and empty texts have the score of no words. The model has a fixed size.
+
+    Repeated rows are scored each for itself, very long texts as a whole; an empty table gives an empty result.
+    """
     prepare_text(docs.sparkSession)
     shared = docs.sparkSession.sparkContext.broadcast(model)
 

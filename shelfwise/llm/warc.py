@@ -387,7 +387,8 @@ def page_of(record) -> Column:
 
 def round_trip(pages: DataFrame) -> DataFrame:
     """Pages written to an archive in the shared folder and read back: page_id, payload_bytes, payload_digest,
-    record_type, refers_to. Responses are measured on what was read, revisits by their headers alone."""
+    record_type, refers_to. Responses are measured on what was read, revisits by their headers alone. A page whose record
+    would reach 4 GiB, more than one member of an archive can state, ends in an error."""
     spark = pages.sparkSession
     path = new_shared_path(spark, "archive")
     write_pages(pages, path)

@@ -78,3 +78,37 @@ def test_network_finds_the_words_that_matter():
     # Blocks of a long text give what the text gives at once.
     long = np.concatenate(texts * 2)
     assert np.allclose(model.pooled(long), np.max([model.pooled(long[:9000]), model.pooled(long[8000:])], axis=0))
+
+
+def test_empty_tables_and_repeated_rows(spark, docs):
+    labels = spark.createDataFrame([(1, 1, 1), (2, 0, 0)], "doc_id long, quality int, toxic int")
+    some = docs([(1, "good words here"), (2, "other words"), (2, "other words")])
+    good, bad = quality.learn(some, labels, F.lit(True)), toxicity.learn(some, labels, F.lit(True))
+    assert quality.score_quality(docs([]), good).count() == toxicity.score_toxicity(docs([]), bad).count() == 0
+    for scored in (quality.score_quality(some, good, keep=["doc_id"]), toxicity.score_toxicity(some, bad)):
+        twice = [r.score for r in scored.collect() if r.doc_id == 2]
+        assert len(twice) == 2 and twice[0] == twice[1]
+    none = toxicity.learn(docs([]), labels, F.lit(True))
+    assert toxicity.score_toxicity(some, none).count() == 3
+
+
+def test_pooled_responses_are_those_of_a_plain_convolution():
+    rng = np.random.default_rng(6)
+    texts = [" ".join(f"w{i}" for i in rng.integers(0, 60, n)).encode() for n in (1, 2, 3, 40)]
+    buckets = [toxicity.buckets_of(t) for t in texts]
+    model = toxicity.train(buckets, np.array([0, 1, 0, 1], np.float32))
+    for ids in buckets:
+        plain = []
+        for filters, bias in zip(model.filters, model.biases):
+            width, dimension, n = filters.shape
+            words = [*ids.tolist(), *[[toxicity.PAD] * ids.shape[1]] * (width - 1)]
+            for f in range(n):
+                best = 0.0
+                for start in range(len(ids)):
+                    response = float(bias[f])
+                    for j in range(width):
+                        word = sum(model.embedding[b].astype(float) for b in words[start + j])
+                        response += sum(word[d] * float(filters[j, d, f]) for d in range(dimension))
+                    best = max(best, response)
+                plain.append(best)
+        assert np.allclose(model.pooled(ids), plain, rtol=1e-4, atol=1e-5)
