@@ -10,6 +10,11 @@ import re
 
 from pyspark.sql import DataFrame, SparkSession
 
+# Tables whose rows are small in the file and become many rows or long texts, by the key that places them.
+SPREAD = {"part": "p_partkey"}
+# Rows of such a table that one task works on.
+ROWS_A_TASK = 5000
+
 TABLES = (
     "region nation customer supplier part orders lineitem events documents embeddings pages "
     "benchmark labels conversations"
@@ -264,15 +269,31 @@ from documents""",
 }
 
 
+def spread(df: DataFrame, key: str, n_rows: int, rows_a_task: int = ROWS_A_TASK) -> DataFrame:
+    """The table of `n_rows` rows placed by its key, about `rows_a_task` rows a task.
+
+    The files decide how many tasks read a table, and one task reads a file of a few megabytes however many rows it has.
+    """
+    tasks = -(-n_rows // rows_a_task)
+    return df.repartition(tasks, key) if tasks > 1 else df
+
+
 class Views:
     """Lazy DataFrames of the views over one directory of parquet tables."""
 
     def __init__(self, spark: SparkSession, sf_dir: str):
         self.spark = spark
         self.sf_dir = sf_dir
+        self._rows: dict[str, int] = {}
 
     def table(self, name: str) -> DataFrame:
-        return self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet")
+        df = self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet")
+        if name not in SPREAD:
+            return df
+        if name not in self._rows:
+            # Reads no more than the files' footers.
+            self._rows[name] = df.count()
+        return spread(df, SPREAD[name], self._rows[name])
 
     def _view(self, name: str) -> DataFrame:
         text = SPARK_ONLY.get(name) or SHARED[name]
