@@ -7,6 +7,7 @@ import re
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from shelfwise.functions.arrays import bind
 from shelfwise.functions.text import (
     bare_key, clean_number_text, comparable_key, is_blank, plain_blanks, strip, whole_or_decimal_text,
 )
@@ -292,14 +293,14 @@ def residual_units(value: Column, units: list[str] = RESIDUAL_UNITS) -> Column:
 
 def validate(eav: DataFrame, units: list[str] = RESIDUAL_UNITS) -> DataFrame:
     """Issues: values that still hold a unit, and specs keys that differ only in case or separators."""
-    with_units = (
-        eav.where(F.col("value").rlike(r"\d"))
-        .withColumn("found", residual_units(F.col("value"), units))
-        .where(F.size("found") > 0)
-        .select(
-            F.when(F.col("kind") == "specs", "units_in_values").otherwise("units_in_features").alias("issue"),
-            "product_id", "key", "value", F.array_join("found", ",").alias("detail"),
-        )
+    def issues(value: Column) -> Column:
+        return bind(residual_units(value, units), lambda found: F.when(value.rlike(r"\d") & (F.size(found) > 0), F.array(F.array_join(found, ","))))
+
+    # Rows without a unit leave by `explode`, not by a filter: a filter is pushed below the columns it reads and would work
+    # out an extracted value once for every unit looked for.
+    with_units = eav.select(
+        F.when(F.col("kind") == "specs", "units_in_values").otherwise("units_in_features").alias("issue"),
+        "product_id", "key", "value", F.explode(bind(F.col("value"), issues)).alias("detail"),
     )
     per_name = Window.partitionBy("product_id", "_same").orderBy("ord")
     repeated = (

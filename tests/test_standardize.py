@@ -146,3 +146,12 @@ def test_conflicting_stored_rules_never_double_an_attribute(spark, eav, pairs, t
     assert pairs(product_rules(rows, rules)) == [("c", "v"), ("y", "u"), ("weight", "5")]
     twice = spark.createDataFrame([("k", "v", "n2"), ("k", "v", "n1")], "key string, value string, normalized string")
     assert [(r.key, r.value) for r in st.normalize_values(eav((1, "specs", 0, "k", "v")), twice).collect()] == [("k", "n1")]
+
+
+def test_validation_works_out_an_extracted_value_once(eav):
+    rows = eav((1, "specs", 0, "a", "5 cm x 7 mm"), (1, "specs", 1, "b", "cm"), (1, "features", 0, "c", "2 kg or 3 g"), (1, "specs", 2, "d", None))
+    found = st.validate(rows).orderBy("key").collect()
+    assert [(r.issue, r.key, r.detail) for r in found] == [("units_in_values", "a", "cm,mm"), ("units_in_features", "c", "kg,g")]
+    plan = st.validate(st.extract_units_auto(rows))._jdf.queryExecution().optimizedPlan().toString()
+    # Twice for each branch of the union: where the pattern is asked and where its number is taken.
+    assert plan.count("RLIKE (?i)\\b(\\d+\\.?\\d*)\\s*rpm\\b") <= 4, plan.count("rpm")
