@@ -11,6 +11,9 @@ from shelfwise.rules import (
     AD_WORDS, BAD_DOCUMENT_WORDS, DOCUMENT_WEIGHTS, EMPTY_REVIEW, MANUAL_WORDS, TRUSTED_DOCUMENT_HOSTS,
 )
 
+# Rows of sources that one task sorts.
+ROWS_A_TASK = 250_000
+
 
 def dedupe_first(df: DataFrame, key: str, order: str) -> DataFrame:
     """First row per key in input order."""
@@ -62,14 +65,15 @@ def accumulate_until(source_rows: DataFrame, targets: DataFrame) -> tuple[DataFr
 
     `source_rows` has product_id, rank, key, value; `targets` has product_id, target. Returns the
     accumulated keys (later used sources overwrite) and per used source the number of new keys.
-    A product without a target, or with a null one, takes all its sources. The rows are placed by product once; windows
-    and aggregates all work on that placing.
+    A product without a target, or with a null one, takes all its sources. The rows are counted and placed by product
+    once, so that a task sorts about ROWS_A_TASK of them; windows and aggregates all work on that placing.
     """
+    tasks = -(-source_rows.count() // ROWS_A_TASK)
     by_key = Window.partitionBy("product_id", "key").orderBy("rank")
     earlier = Window.partitionBy("product_id").orderBy("rank").rangeBetween(Window.unboundedPreceding, -1)
     limits = targets.groupBy("product_id").agg(F.max("target").alias("_target"))
     taken = (
-        source_rows.repartition("product_id")
+        source_rows.repartition(max(tasks, 1), "product_id")
         .withColumn("_new", (F.row_number().over(by_key) == 1).cast("bigint"))
         .withColumn("_before", F.coalesce(F.sum("_new").over(earlier), F.lit(0)))
         .join(limits, "product_id", "left")

@@ -72,3 +72,14 @@ def test_review_splitting(spark):
     text = "4.5 average 5 out of 5 stars. by A 3 days ago Great machine overall, Yes, I would buy 2 out of 5 stars. B 1 week ago ok. 1 out of 5 stars. no date here at all"
     got = rv.split_reviews(spark.createDataFrame([(1, text)], "doc_id long, text string")).collect()
     assert [(r.ord, r.stars, r.text) for r in got] == [(0, 5, "Great machine overall")]
+
+
+def test_sources_are_placed_in_tasks_of_bounded_size(spark, monkeypatch):
+    source = spark.range(400).selectExpr("id % 20 as product_id", "id div 20 as rank", "'k' || cast((id * 7) % 11 as string) as key", "cast(id as string) as value")
+    targets = spark.range(20).selectExpr("id as product_id", "3L as target")
+    whole = {n: sorted(map(tuple, df.collect())) for n, df in zip("mu", se.accumulate_until(source, targets))}
+    monkeypatch.setattr(se, "ROWS_A_TASK", 50)
+    merged, used = se.accumulate_until(source, targets)
+    assert merged.rdd.getNumPartitions() == 8
+    assert {n: sorted(map(tuple, df.collect())) for n, df in zip("mu", (merged, used))} == whole
+    assert se.accumulate_until(source.limit(0), targets)[0].count() == 0
