@@ -20,6 +20,11 @@ def _pieces(text: Column, n: Column) -> Column:
     return F.when(F.length(text) >= n, F.array_distinct(F.transform(starts, lambda i: F.substring(text, i, n)))).otherwise(F.array().cast("array<string>"))
 
 
+def _all_pieces(text: Column, n: int) -> Column:
+    """Pieces of `n` letters at every place, repeated ones too, in one walk over the text."""
+    return F.regexp_extract_all(text, F.lit(f"(?s)(?=(.{{{n}}}))"), F.lit(1))
+
+
 def _filed(rows: DataFrame, column: str, files: DataFrame) -> DataFrame:
     """Rows whose value may be one of `files`: a map of fixed size over hashes, sent to every task, spares the rest the shuffle."""
     slot = F.pmod(F.xxhash64(column), F.lit(MAP_BITS))
@@ -52,7 +57,7 @@ def first_contained(texts: DataFrame, patterns: DataFrame) -> DataFrame:
     lengths = [r[0] for r in listed.select(F.least(F.length("pattern"), F.lit(PIECE))).distinct().collect()]
     if not lengths:
         return distinct.select("text", F.lit(None).cast("string").alias("pattern"), F.lit(None).cast(patterns.schema["ord"].dataType).alias("ord")).limit(0)
-    own = F.flatten(F.array(*[_pieces(F.col("text"), F.lit(n)) for n in sorted(lengths)]))
+    own = F.flatten(F.array(*[_all_pieces(F.col("text"), n) for n in sorted(lengths)]))
     in_texts = distinct.select("text", F.explode(own).alias("piece"))
     counts = _filed(in_texts.select("piece"), "piece", pieces).groupBy("piece").agg(F.count("*").alias("_n"))
     rated = pieces.join(counts, "piece", "left").withColumn("_n", F.coalesce("_n", F.lit(0)))

@@ -81,3 +81,12 @@ def test_brands_by_table(spark):
     brands = spark.createDataFrame([("Sharp", 0), ("sharp", 1), ("De Dietrich", 2), ("De", 3)], "brand string, ord int")
     got = {r.name: (r.brand, r.model) for r in ct.split_brand_model(products, brands, strict=True).collect()}
     assert got == {"SHARP R2": ("Sharp", "R2"), "Sharpener x": ("Sharpener", "x"), "Deluxe": ("Deluxe", "Deluxe"), None: (None, None), "De Dietrich  oven": ("De Dietrich", "oven")}
+
+
+def test_pieces_of_a_text_come_from_one_walk_over_it(spark):
+    texts = ["aaaaaa", "line\nbreak", "😀😀x😀y", "é", "", None, "x" * 5000 + "end."]
+    patterns = ["aaaa", "e\nbr", "😀x😀", "é", "end.", "😀y"]
+    frames = tables(spark, texts, patterns)
+    assert found(mt.first_contained(*frames)) == brute(texts, patterns, lambda t, p: p in t)
+    longer = tables(spark, texts, ["end."])
+    assert "regexp_extract_all" in plan_of(mt.first_contained(*longer))
