@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 
 from shelfwise.functions import english
 from shelfwise.operators.search import Clause, postings_of, price_points, query_clauses, stand_in_order, terms_of
+from shelfwise.session import cut_lineage
 
 FIELD_WEIGHTS = {"name": 1.0, "brand": 0.4, "model": 0.4, "specs": 0.2, "features": 0.1}
 BLOCK_ROWS = 256
@@ -93,7 +94,9 @@ def write_ranked_index(products: DataFrame, path: str, weights: dict[str, float]
 
     slim = placed.select("category_id", "block", "product_id", F.col("price").cast("double").alias("price"), "brand", F.col("score").cast("double").alias("score"))
     rows = placed.select("category_id", "block", "product_id", F.inline(postings_of(english_tokens(products, weights))))
-    postings = store(rows.select("category_id", "term", "block", "product_id", "weight", "positions"), "postings", "term", "block")
+    # Ranges are found from a sample, which walks over all rows first: they are stored, so that stems are worked out once.
+    found = cut_lineage(rows.select("category_id", "term", "block", "product_id", "weight", "positions"))
+    postings = store(found, "postings", "term", "block")
     bounds = postings.groupBy("category_id", "term", "block").agg(F.count("*").alias("n"), F.max("weight").alias("max_weight"))
     store(bounds, "bounds", "term", "block")
     stored = store(slim, "products", "block")

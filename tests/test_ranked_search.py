@@ -114,3 +114,17 @@ def test_phrases_come_from_the_index(spark, shop, tmp_path):
         assert sorted(r.product_id for r in placed.collect()) == sorted(r.product_id for r in by_text.collect()), query
         assert "RLIKE" not in plan_of(placed).upper() and "RLIKE" in plan_of(by_text).upper()
         assert re.search(r"PushedFilters: \[[^]]*term", plan_of(placed))
+
+
+def test_postings_are_worked_out_once(spark, shop, tmp_path):
+    read = spark.sparkContext.accumulator(0)
+
+    @F.udf("string")
+    def counted(name):
+        read.add(1)
+        return name
+
+    products = shop.limit(200).localCheckpoint()
+    rs.write_ranked_index(products.withColumn("name", counted("name")), f"{tmp_path}/index", block_rows=32)
+    assert read.value == 200
+    assert rs.read_ranked_index(spark, f"{tmp_path}/index").postings.select("product_id").distinct().count() == 200
