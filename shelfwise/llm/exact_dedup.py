@@ -74,29 +74,38 @@ def _prints(df: DataFrame, text: str, names: list[str], modulus: int, keep: list
     return annotate(df, text, compute, dict(zip(names, types)), keep)
 
 
-def _chunk_rows(df: DataFrame) -> DataFrame:
-    """Normalized texts as rows of at most `CHUNK_BYTES` bytes."""
+def _chunks(df: DataFrame, modulus: int) -> DataFrame:
+    """Normalized texts as rows of at most `CHUNK_BYTES` bytes, each with the fingerprint and length of its whole text."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            where, numbers, chunks = [], [], []
+            where, prints, lengths, numbers, chunks = [], [], [], [], []
             for i, text in enumerate(batch.column("text").cast(pa.binary()).to_pylist()):
                 flat = normalize(text or b"")
+                fp = fingerprint(flat, modulus)
                 for k in range(0, max(len(flat), 1), CHUNK_BYTES):
                     where.append(i)
+                    prints.append(fp)
+                    lengths.append(len(flat))
                     numbers.append(k // CHUNK_BYTES)
                     chunks.append(flat[k : k + CHUNK_BYTES])
             rest = batch.drop_columns(["text"]).take(pa.array(where, pa.int64()))
             yield pa.RecordBatch.from_arrays(
-                [*rest.columns, pa.array(numbers, pa.int32()), pa.array(chunks, pa.binary())],
-                names=[*rest.schema.names, "chunk_no", "chunk"],
+                [*rest.columns, pa.array(prints, pa.int64()), pa.array(lengths, pa.int64()), pa.array(numbers, pa.int32()), pa.array(chunks, pa.binary())],
+                names=[*rest.schema.names, "fp", "n_bytes", "chunk_no", "chunk"],
             )
 
-    schema = T.StructType(
-        [f for f in df.schema if f.name != "text"]
-        + [T.StructField("chunk_no", T.IntegerType()), T.StructField("chunk", T.BinaryType())]
-    )
-    return df.mapInArrow(run, schema)
+    fields = {"fp": T.LongType(), "n_bytes": T.LongType(), "chunk_no": T.IntegerType(), "chunk": T.BinaryType()}
+    return df.mapInArrow(run, T.StructType([f for f in df.schema if f.name != "text"] + [T.StructField(n, t) for n, t in fields.items()]))
+
+
+def _chunk_rows(chunks: DataFrame) -> DataFrame:
+    """Chunks of groups with the `salts` of the parts they go to: a group's first text to all of them."""
+    parts = F.ceil(F.col("group_size") / COPIES_PER_SALT).cast("int")
+    # One model a group, however many rows have the id of the one that stays.
+    is_first = F.col("key") == F.col("keep_key")
+    salts = F.when(is_first, F.sequence(F.lit(0), parts - 1)).otherwise(F.array(F.pmod(F.xxhash64("key"), parts).cast("int")))
+    return chunks.select("id", "fp", "n_bytes", "chunk_no", "chunk", is_first.alias("is_first"), salts.alias("salts"))
 
 
 def _differing(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -122,14 +131,9 @@ def _false_members(texts: DataFrame, members: DataFrame, groups: DataFrame, modu
     """
     several = groups.filter("group_size > 1")
     wanted = members.join(several.select("fp", "n_bytes"), ["fp", "n_bytes"], "left_semi")
-    seen = _prints(MaybeIn(wanted.select("id"), "id").keep(texts), "text", ["fp", "n_bytes", "sha"], modulus, None).drop("sha")
-    parts = F.ceil(F.col("group_size") / COPIES_PER_SALT).cast("int")
-    whole = seen.join(several, ["fp", "n_bytes"]).withColumn("parts", parts)
-    # One model a group, however many rows have the id of the one that stays.
-    is_first = F.col("key") == F.col("keep_key")
-    salts = F.when(is_first, F.sequence(F.lit(0), F.col("parts") - 1)).otherwise(F.array(F.pmod(F.xxhash64("key"), F.col("parts")).cast("int")))
-    whole = whole.select("id", "text", "fp", "n_bytes", is_first.alias("is_first"), salts.alias("salts"))
-    rows = _chunk_rows(whole).withColumn("salt", F.explode("salts")).drop("salts")
+    # Prints and chunks come from one pass: a second one behind the join would keep a second Python worker for each task.
+    seen = _chunks(MaybeIn(wanted.select("id"), "id").keep(texts), modulus)
+    rows = _chunk_rows(seen.join(several, ["fp", "n_bytes"])).withColumn("salt", F.explode("salts")).drop("salts")
     placed = rows.repartition("fp", "n_bytes", "chunk_no", "salt").sortWithinPartitions("fp", "n_bytes", "chunk_no", "salt", F.desc("is_first"))
     return placed.mapInArrow(_differing, T.StructType([placed.schema[c] for c in ("id", "fp", "n_bytes")])).distinct()
 

@@ -53,6 +53,16 @@ def test_very_many_rows_of_one_id_meet_one_model_each(spark, docs, monkeypatch):
     assert made[0].selectExpr("sum(size(salts))").first()[0] <= 4008 + 4010 / 4 + 2
 
 
+def test_a_task_that_compares_texts_needs_one_python_worker(spark, docs, monkeypatch):
+    plans = []
+    monkeypatch.setattr(op, "_false_members", lambda *a, f=op._false_members: plans.append(f(*a)) or plans[-1])
+    assert result(op.exact_duplicates(docs(ROWS))) == brute(ROWS)
+    plan = plans[0]._jdf.queryExecution().optimizedPlan().toString()
+    # One pass over the texts in front of the shuffle and one behind it, whichever join stands between.
+    assert plan.count("MapInArrow") == 2
+    assert plan.index("MapInArrow") < plan.index("RepartitionByExpression") < plan.rindex("MapInArrow")
+
+
 def test_empty_table(docs):
     assert op.exact_duplicates(docs([])).count() == 0 and op.drop_copies(docs([])).count() == 0
 
